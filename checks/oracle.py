@@ -299,6 +299,8 @@ FROM (SELECT max(event_hour_ts) AS h FROM event_type_hourly)"""
 UNION ALL SELECT 'silver', max(event_hour_ts) FROM silver
 UNION ALL SELECT 'gold', max(event_hour_ts) FROM event_type_hourly"""
     ),
+    "stream_dedup": _silver("SELECT event_id, event_type, event_ts FROM silver"),
+    "stream_event_type_hourly": _gold("SELECT event_hour_ts, event_type, event_count FROM event_type_hourly"),
     "repo_daily_activity": _silver(
         "SELECT event_day, repo_name, event_type, CAST(count(*) AS BIGINT) AS event_count FROM silver "
         "WHERE repo_name IS NOT NULL GROUP BY ALL"

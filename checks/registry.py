@@ -12,8 +12,9 @@ from tidelake import functions as X
 from tidelake.operators import conform, counts, dedup, flatten, metrics, quality
 from tidelake.plans import dashboard
 from tidelake.schemas import BRONZE_COLUMNS, ENTITIES, SILVER_COLUMNS
-from tidelake.session import configure
+from tidelake.session import configure, scratch_dir
 from tidelake.sources import ledger, sample
+from tidelake.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -409,3 +410,36 @@ def _(spark, folder):
 @query("push_pr_ratio")
 def _(spark, folder):
     return metrics.push_pr_ratio(gold(spark, folder)["event_type_daily"])
+
+
+# ---- streaming ------------------------------------------------------------------------------
+
+
+def live_events(spark, folder):
+    """The events table as a stream of typed rows."""
+    table = spark.readStream.schema(events(spark, folder).schema)
+    stream = table.option("pathGlobFilter", "events.parquet").parquet(folder)
+    rows = conform.valid_rows(conform.typed(sample.bronze_rows(stream)))
+    return rows.select("event_id", "event_type", "event_ts")
+
+
+def _deduplicated(spark, folder, label):
+    work = scratch_dir(spark, label)
+    live.use_disk_state(spark)
+    live.append_available(live.dedup(live_events(spark, folder)), f"{work}/events", f"{work}/checkpoint-events")
+    return work
+
+
+@query("stream_dedup")
+def _(spark, folder):
+    work = _deduplicated(spark, folder, "stream_dedup")
+    return naive_hours(spark.read.parquet(f"{work}/events"))
+
+
+@query("stream_event_type_hourly")
+def _(spark, folder):
+    work = _deduplicated(spark, folder, "stream_event_type_hourly")
+    stored = spark.read.parquet(f"{work}/events").schema
+    counted = live.hourly_type_counts(spark.readStream.schema(stored).parquet(f"{work}/events"))
+    live.update_available(counted, f"{work}/counts", f"{work}/checkpoint-counts")
+    return naive_hours(live.latest_counts(spark, f"{work}/counts"))

@@ -94,16 +94,10 @@ def bad_lines(flat: DataFrame) -> DataFrame:
 
 def file_stats(flat: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows written, duplicates dropped and lines rejected per source file."""
-    seen = flat.groupBy("source_path", "source_file", "date", "hour").agg(
-        F.count("*").alias("lines"), F.count("bad_reason").alias("bad")
-    )
-    written = kept.groupBy("source_path").agg(F.count("*").alias("rows"))
+    keys = ["source_file", "date", "hour"]
+    seen = flat.groupBy(*keys).agg(F.count("*").alias("lines"), F.count("bad_reason").alias("bad"))
+    written = kept.groupBy("source_file").agg(F.count("*").alias("rows"))
     rows = F.coalesce("rows", F.lit(0).cast("bigint"))
-    return seen.join(written, "source_path", "left").select(
-        "source_file",
-        "date",
-        "hour",
-        rows.alias("rows"),
-        (F.col("lines") - F.col("bad") - rows).alias("duplicates"),
-        "bad",
+    return seen.join(written, "source_file", "left").select(
+        *keys, rows.alias("rows"), (F.col("lines") - F.col("bad") - rows).alias("duplicates"), "bad"
     )

@@ -55,6 +55,13 @@ QUARANTINE_SCHEMA = T.StructType(
     BRONZE_TABLE_SCHEMA.fields + [T.StructField("event_day", T.DateType()), T.StructField("reason", _S)]
 )
 
+BAD_LINE_SCHEMA = T.StructType(
+    BRONZE_PARTITIONS.fields
+    + [T.StructField("reason", _S), T.StructField("line", _S), T.StructField("source_file", _S)]
+)
+
+POINTER_SCHEMA = T.StructType([T.StructField("snapshot", _S), T.StructField("published_at", T.TimestampType())])
+
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("hour_ts", T.TimestampType()),
