@@ -12,7 +12,7 @@ from tidelake import functions as X
 from tidelake.operators import conform, counts, dedup, flatten, metrics, quality
 from tidelake.plans import dashboard
 from tidelake.schemas import BRONZE_COLUMNS, ENTITIES, SILVER_COLUMNS
-from tidelake.session import configure, scratch_dir
+from tidelake.session import configure, scratch_dir, written_out
 from tidelake.sources import ledger, sample
 from tidelake.streaming import live
 
@@ -52,7 +52,9 @@ def gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def flat_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return flatten.flatten_lines(sample.raw_lines(events(spark, folder)), INGEST_AT)
+    """Flattened lines behind a written table, as the ingest keeps them."""
+    flat = flatten.flatten_lines(sample.raw_lines(events(spark, folder)), INGEST_AT)
+    return written_out(flat, "flat_lines")
 
 
 def naive_hours(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, not only speed. They are runtime settings, so they can be
 # applied to a session somebody else created.
@@ -48,3 +48,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="tidelake-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return os.path.join(shared, "tidelake", label, uuid.uuid4().hex)
+
+
+def written_out(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: computed once, lineage cut."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

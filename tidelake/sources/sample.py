@@ -125,59 +125,51 @@ def raw_lines(events: DataFrame) -> DataFrame:
     lines are cut off, empty, or hold an array.
     """
     n = F.col("src_id")
-    repo_id = (
-        F.when(n % 4 == 0, F.to_json(F.struct(F.col("repo_id").alias("id"))))
-        .when(n % 4 == 1, F.to_json(F.struct(F.col("repo_id").cast("string").alias("id"))))
-        .when(n % 4 == 2, F.to_json(F.struct((F.col("repo_id") + F.lit(0.75)).alias("id"))))
-        .otherwise(F.to_json(F.struct(F.concat(F.col("repo_id").cast("string"), F.lit(".5")).alias("id"))))
+    # A struct may repeat a field name; NULL fields are left out, so each line shows one form.
+    repo = F.struct(
+        F.when(n % 4 == 0, F.col("repo_id")).alias("id"),
+        F.when(n % 4 == 1, F.col("repo_id").cast("string")).alias("id"),
+        F.when(n % 4 == 2, F.col("repo_id") + F.lit(0.75)).alias("id"),
+        F.when(n % 4 == 3, F.concat(F.col("repo_id").cast("string"), F.lit(".5"))).alias("id"),
+        F.when(n % 29 == 0, F.concat(F.lit("/"), F.col("repo_name")))
+        .when(n % 29 == 1, "noslash")
+        .otherwise(F.col("repo_name"))
+        .alias("name"),
+        F.when(n % 58 < 29, "fallback").alias("owner"),
+        F.col("repo_language").alias("language"),
     )
-    repo_rest = F.to_json(
-        F.struct(
-            F.when(n % 29 == 0, F.concat(F.lit("/"), F.col("repo_name")))
-            .when(n % 29 == 1, F.lit("noslash"))
-            .otherwise(F.col("repo_name"))
-            .alias("name"),
-            F.when(n % 58 < 29, "fallback").alias("owner"),
-            F.col("repo_language").alias("language"),
-        )
+    author = F.struct(F.struct(F.col("pr_user_login").alias("login")).alias("user"))
+    payload = F.struct(
+        F.col("payload_size").alias("size"),
+        F.col("payload_ref").alias("ref"),
+        F.col("payload_action").alias("action"),
+        F.when(F.col("pr_user_login").isNotNull(), author).alias("pull_request"),
     )
-    repo = F.concat(F.regexp_replace(repo_id, r"\}$", ""), F.lit(","), F.regexp_replace(repo_rest, r"^\{", ""))
-    repo = F.regexp_replace(F.regexp_replace(repo, r"^\{,", "{"), r",\}$", "}")
-    payload = F.when(n % 13 == 0, F.lit("[1]")).otherwise(
-        F.to_json(
-            F.struct(
-                F.col("payload_size").alias("size"),
-                F.col("payload_ref").alias("ref"),
-                F.col("payload_action").alias("action"),
-                F.when(
-                    F.col("pr_user_login").isNotNull(),
-                    F.struct(F.struct(F.col("pr_user_login").alias("login")).alias("user")),
-                ).alias("pull_request"),
-            )
-        )
+    org = F.struct(F.col("org_id").alias("id"), F.col("org_login").alias("login"))
+    actor = F.struct(
+        F.col("actor_id").alias("id"), F.col("actor_login").alias("login"), F.col("actor_type").alias("type")
     )
-    event = F.to_json(
+    line = F.to_json(
         F.struct(
             F.col("event_id").alias("id"),
             F.col("event_type").alias("type"),
             "created_at",
-            F.when(F.col("org_login").isNotNull(), F.struct(F.col("org_id").alias("id"), F.col("org_login").alias("login"))).alias("org"),
-            F.struct(
-                F.col("actor_id").alias("id"), F.col("actor_login").alias("login"), F.col("actor_type").alias("type")
-            ).alias("actor"),
+            actor.alias("actor"),
+            repo.alias("repo"),
+            F.when(F.col("org_login").isNotNull(), org).alias("org"),
+            F.when(n % 13 != 0, payload).alias("payload"),
+            F.when(n % 13 == 0, F.array(F.lit(1))).alias("payload"),
         )
     )
-    line = F.concat(
-        F.regexp_replace(event, r"\}$", ""), F.lit(',"repo":'), repo, F.lit(',"payload":'), payload, F.lit("}")
-    )
+    text = F.col("line")
     value = (
-        F.when(n % 331 == 3, F.left(line, F.length(line) - 5))
-        .when(n % 331 == 4, F.concat(line, F.lit(" {}")))
+        F.when(n % 331 == 3, F.left(text, F.length(text) - 5))
+        .when(n % 331 == 4, F.concat(text, F.lit(" {}")))
         .when(n % 331 == 5, F.lit(""))
-        .when(n % 331 == 6, F.concat(F.lit("["), line, F.lit("]")))
-        .otherwise(line)
+        .when(n % 331 == 6, F.concat(F.lit("["), text, F.lit("]")))
+        .otherwise(text)
     )
-    return _columns(_copies(events)).select(
+    return _columns(_copies(events)).select("src_id", "copy", "source_file", line.alias("line")).select(
         value.alias("value"),
         F.concat(F.lit("raw/"), F.col("source_file")).alias("source_path"),
         "source_file",
