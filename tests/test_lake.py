@@ -98,9 +98,8 @@ def test_a_late_row_joins_its_day_and_keeps_the_others(spark, lake, land):
 
 
 @pytest.fixture
-def three_days(spark, lake, land):
+def three_days(spark, lake, raw):
     kinds = ["PushEvent", "PullRequestEvent", "WatchEvent"]
-    dates = set()
     for d in (4, 5, 6):
         for h in (0, 12, 23):
             lines = [
@@ -116,8 +115,8 @@ def three_days(spark, lake, land):
             ]
             if h == 23:
                 lines.append(event(f"{d}-late", created_at=f"2024-03-0{d + 1}T00:00:30Z"))
-            dates.update(land(f"2024-03-0{d}-{h}", lines + lines[:3]))
-    return sorted(dates)
+            raw.write(f"2024-03-0{d}-{h}", lines + lines[:3])
+    return bronze.land_lines(raw_source.scan_lines(spark, str(raw.folder)), lake, AT, "test")
 
 
 def test_rebuild_equals_incremental_and_repeats(spark, lake, three_days):

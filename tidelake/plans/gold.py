@@ -8,14 +8,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Collection
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.counts import daily_from_hourly, entity_from_cube, hourly_cube
-from tidelake.schemas import ENTITIES
+from tidelake.schemas import ENTITIES, Entity
 from tidelake.session import configure
-from tidelake.sources.lake import Lake, clear_days, overwrite_partitions, read_silver
+from tidelake.sources.lake import Lake, clear_days, overwrite_partitions, read_silver, side_by_side
 
 
 def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date], slot: str = "gold") -> None:
@@ -29,15 +30,22 @@ def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date], slot:
         "event_day date, event_hour_ts timestamp, key string, n bigint, entity string"
     ).parquet(staged)
     present = {(r["entity"], r["event_day"]) for r in cube.select("entity", "event_day").distinct().collect()}
+
+    def write(table: str, entity: Entity, rows: DataFrame) -> None:
+        schema = entity.schema(table)
+        overwrite_partitions(
+            rows.select(*schema.fieldNames()), lake.gold(table), ["event_day"], expected=len(days)
+        )
+        gone = {d for d in days if (entity.name, d) not in present}
+        if gone:
+            clear_days(spark, lake.gold(table), schema, gone)
+
+    jobs = []
     for e in ENTITIES.values():
         hourly = entity_from_cube(cube, e)
-        gone = {d for d in days if (e.name, d) not in present}
-        for table, rows in ((e.hourly, hourly), (e.daily, daily_from_hourly(hourly, e))):
-            overwrite_partitions(
-                rows.select(*e.schema(table).fieldNames()), lake.gold(table), ["event_day"], expected=len(days)
-            )
-            if gone:
-                clear_days(spark, lake.gold(table), e.schema(table), gone)
+        jobs.append(partial(write, e.hourly, e, hourly))
+        jobs.append(partial(write, e.daily, e, daily_from_hourly(hourly, e)))
+    side_by_side(jobs)
 
 
 def silver_days(spark: SparkSession, lake: Lake) -> list[dt.date]:

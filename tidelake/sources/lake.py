@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from collections.abc import Collection, Iterable
+from collections.abc import Callable, Collection, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,3 +147,10 @@ def clear_days(spark: SparkSession, path: str, schema: StructType, days: Collect
     stored = _only(read_table(spark, path, schema), "event_day", days).select("event_day").distinct()
     for row in stored.collect():
         clear_partition(spark, path, schema, event_day=row["event_day"])
+
+
+def side_by_side(jobs: Iterable[Callable[[], None]], at_once: int = 4) -> None:
+    """Submit independent small writes together, so they fill the cluster instead of queueing."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()

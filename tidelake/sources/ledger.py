@@ -29,9 +29,9 @@ def hour_spine(
     start = F.greatest(
         F.coalesce("start_from", default_start), latest - F.make_dt_interval(F.lit(retention_days))
     )
-    return bounds.where(start <= latest).select(
-        F.explode(F.sequence(start, latest, F.expr("INTERVAL 1 HOUR"))).alias("hour_ts")
-    )
+    # `least` keeps the sequence valid where constants are folded ahead of the filter.
+    hours = F.sequence(F.least(start, latest), latest, F.expr("INTERVAL 1 HOUR"))
+    return bounds.where(start <= latest).select(F.explode(hours).alias("hour_ts"))
 
 
 def clock_bounds(spark: SparkSession, as_of: dt.datetime, start_from: dt.datetime | None = None) -> DataFrame:

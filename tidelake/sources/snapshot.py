@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.quality import require_non_empty
 from tidelake.schemas import GOLD_TABLES, POINTER_SCHEMA
-from tidelake.sources.lake import Lake, read_table
+from tidelake.sources.lake import Lake, read_table, side_by_side
 
 
 class NothingPublished(RuntimeError):
@@ -33,9 +34,12 @@ def publish(spark: SparkSession, lake: Lake, at: dt.datetime | None = None) -> s
     """Copy gold and make the copy current; raises without publishing if a table is empty."""
     stamp = at or dt.datetime.now(dt.timezone.utc)
     snapshot = f"{stamp:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    for table, entity in GOLD_TABLES.items():
-        rows = read_table(spark, lake.gold(table), entity.schema(table))
+
+    def copy(table: str) -> None:
+        rows = read_table(spark, lake.gold(table), GOLD_TABLES[table].schema(table))
         rows.hint("rebalance", F.col("event_day")).write.partitionBy("event_day").parquet(_folder(lake, snapshot, table))
+
+    side_by_side(partial(copy, table) for table in GOLD_TABLES)
     require_non_empty(open_snapshot(spark, lake, snapshot))
     pointer = spark.range(1).select(F.lit(snapshot).alias("snapshot"), F.lit(stamp.isoformat()).cast("timestamp").alias("published_at"))
     pointer.write.mode("append").parquet(_pointers(lake))
