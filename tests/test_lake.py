@@ -238,3 +238,45 @@ def test_dated_reads_prune_partitions(spark, lake, three_days):
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: []" not in plan
+
+
+def test_reports_over_the_stored_layers(spark, lake, three_days):
+    from tidelake.plans import checks
+
+    assert rows(checks.layer_lag(spark, lake), "layer", "latest_hour")[1:] == [("gold", None), ("silver", None)]
+    backfill.refresh(spark, lake, three_days)
+    snapshot.publish(spark, lake)
+    assert rows(checks.layer_lag(spark, lake)) == [
+        ("bronze", dt.datetime(2024, 3, 6, 23)),
+        ("gold", dt.datetime(2024, 3, 7, 0)),
+        ("silver", dt.datetime(2024, 3, 7, 0)),
+        ("snapshot", dt.datetime(2024, 3, 7, 0)),
+    ]
+    report = dict(rows(checks.day_report(spark, lake, day("2024-03-05"))))
+    assert report.pop("silver_event_count") == 91 and set(report.values()) == {0} and len(report) == 6
+    tables = checks.gold_report(spark, lake)
+    assert tables.count() == 8 and rows(tables.select("passed", "negative_rows").distinct()) == [(True, 0)]
+    assert checks.bronze_columns_missing(spark, lake) == []
+    assert rows(checks.freshness(spark, lake, dt.datetime(2024, 3, 7, 2)), "within_sla") == [(True,)]
+    missing = checks.missing_hours(spark, lake, dt.datetime(2024, 3, 7, 1, 30), hours_back=4)
+    assert [r["hour_ts"].hour for r in missing.orderBy("hour_ts").collect()] == [21, 22, 0]
+
+
+def test_command_line_jobs(spark, lake, raw, capsys):
+    from tidelake.__main__ import main
+
+    kinds = ["PushEvent", "PullRequestEvent"]
+    lines = [event(str(i), type=kinds[i % 2], org={"id": 1, "login": "acme"}) for i in range(4)]
+    raw.write("2024-03-05-10", lines)
+    at = ["--lake", lake.root]
+    start = ["--start-from", "2024-03-05T00:00:00", "--retention-days", "100000"]
+    main(["ingest", *at, "--raw", str(raw.folder), *start])
+    main(["silver", *at, "--date", "2024-03-05"])
+    main(["gold", *at, "--date", "2024-03-05"])
+    main(["publish", *at])
+    capsys.readouterr()
+    main(["query", "top-push-users", *at, "--preset", "max", "--limit", "1"])
+    assert "|ann        |2         |" in capsys.readouterr().out
+    main(["rebuild", *at, "--first", "2024-03-04", "--last", "2024-03-06"])
+    main(["check", *at, "--date", "2024-03-05"])
+    assert "|silver_event_count            |4    |" in capsys.readouterr().out
