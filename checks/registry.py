@@ -13,7 +13,7 @@ from tidelake.operators import conform, counts, dedup, flatten, metrics, quality
 from tidelake.plans import dashboard
 from tidelake.schemas import BRONZE_COLUMNS, ENTITIES, SILVER_COLUMNS
 from tidelake.session import configure, scratch_dir, written_out
-from tidelake.sources import ledger, sample
+from tidelake.sources import ledger, raw, sample
 from tidelake.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +36,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.events_table(spark, folder)
+    return raw.spread(sample.events_table(spark, folder))
 
 
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
