@@ -11,7 +11,14 @@ from tidelake.plans import backfill, bronze, dashboard, gold, silver
 from tidelake.schemas import ENTITIES, GOLD_TABLES, SILVER_SCHEMA
 from tidelake.sources import catalog, snapshot
 from tidelake.sources import raw as raw_source
-from tidelake.sources.lake import read_bad_rows, read_bronze, read_by_name, read_gold, read_silver
+from tidelake.sources.lake import (
+    read_bad_lines,
+    read_bad_rows,
+    read_bronze,
+    read_by_name,
+    read_gold,
+    read_silver,
+)
 
 AT = dt.datetime(2024, 3, 6, 12, tzinfo=dt.timezone.utc)
 
@@ -280,3 +287,14 @@ def test_command_line_jobs(spark, lake, raw, capsys):
     main(["rebuild", *at, "--first", "2024-03-04", "--last", "2024-03-06"])
     main(["check", *at, "--date", "2024-03-05"])
     assert "|silver_event_count            |4    |" in capsys.readouterr().out
+
+
+def test_quarantine_follows_a_corrected_hour(spark, lake, land):
+    dates = land("2024-03-05-10", [event("1"), event("2", type=None), "{bad"])
+    backfill.refresh(spark, lake, dates)
+    assert rows(read_bad_lines(spark, lake), "line") == [("{bad",)]
+    assert rows(read_bad_rows(spark, lake), "event_id") == [("2",)]
+    dates = land("2024-03-05-10", [event("1"), event("2")])
+    backfill.refresh(spark, lake, dates)
+    assert rows(read_bad_lines(spark, lake)) == [] and rows(read_bad_rows(spark, lake)) == []
+    assert rows(read_silver(spark, lake), "event_id") == [("1",), ("2",)]

@@ -15,10 +15,17 @@ from pyspark.sql import functions as F
 from tidelake.functions import normalize_ts
 from tidelake.operators.dedup import first_per_file
 from tidelake.operators.flatten import bad_lines, file_stats, flatten_lines, good_lines
-from tidelake.schemas import BRONZE_COLUMNS, BRONZE_TABLE_SCHEMA, LEDGER_SCHEMA
+from tidelake.schemas import BAD_LINE_SCHEMA, BRONZE_COLUMNS, BRONZE_TABLE_SCHEMA, LEDGER_SCHEMA
 from tidelake.session import configure
 from tidelake.sources import ledger, raw
-from tidelake.sources.lake import Lake, clear_partition, overwrite_partitions, read_bronze, read_ledger
+from tidelake.sources.lake import (
+    Lake,
+    clear_partition,
+    overwrite_partitions,
+    read_bad_lines,
+    read_bronze,
+    read_ledger,
+)
 
 
 def _record(stats: DataFrame, lake: Lake, ingest_at: dt.datetime) -> None:
@@ -42,13 +49,19 @@ def land_lines(lines: DataFrame, lake: Lake, ingest_at: dt.datetime, slot: str)
 
     # One row per file of the batch, so bounded by the number of files.
     found = (
-        flat.groupBy("source_file", "date", "hour").agg((F.count("*") > F.count("bad_reason")).alias("good")).collect()
+        flat.groupBy("source_file", "date", "hour")
+        .agg((F.count("*") > F.count("bad_reason")).alias("good"), (F.count("bad_reason") == 0).alias("clean"))
+        .collect()
     )
     if not found:
         return []
     rows = first_per_file(good_lines(flat)).select(*BRONZE_COLUMNS, "date", "hour")
     overwrite_partitions(rows, lake.bronze, ["date", "hour"], expected=len(found))
     overwrite_partitions(bad_lines(flat), lake.bad_lines, ["source_file"], expected=len(found))
+    clean = [f["source_file"] for f in found if f["clean"]]
+    outdated = read_bad_lines(spark, lake).where(F.col("source_file").isin(clean)).select("source_file").distinct()
+    for row in outdated.collect():
+        clear_partition(spark, lake.bad_lines, BAD_LINE_SCHEMA, source_file=row["source_file"])
 
     touched = sorted({f["date"] for f in found if f["date"]})
     stored = read_bronze(spark, lake, touched)

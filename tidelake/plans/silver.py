@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import neighbour_days
 from tidelake.operators.conform import quarantined, to_silver, typed, valid_rows
-from tidelake.schemas import SILVER_SCHEMA
+from tidelake.schemas import QUARANTINE_SCHEMA, SILVER_SCHEMA
 from tidelake.session import configure
-from tidelake.sources.lake import Lake, clear_days, overwrite_partitions, read_bronze
+from tidelake.sources.lake import Lake, clear_days, clear_partition, overwrite_partitions, read_bad_rows, read_bronze
 
 
 def days_in(spark: SparkSession, lake: Lake, dates: Collection[dt.date]) -> list[dt.date]:
@@ -43,8 +43,14 @@ def clear_absent_days(spark: SparkSession, lake: Lake, days: Collection[dt.date]
 
 def quarantine_dates(spark: SparkSession, lake: Lake, dates: Collection[dt.date]) -> None:
     """Rewrite the rejected rows of the given file dates."""
+    in_dates = F.col("date").isin([F.lit(d) for d in sorted(dates)])
+    known = {r["date"] for r in read_bad_rows(spark, lake).where(in_dates).select("date").distinct().collect()}
     rejected = quarantined(read_bronze(spark, lake, dates))
     overwrite_partitions(rejected, lake.bad_rows, ["date"], expected=len(dates))
+    if known:
+        still = quarantined(read_bronze(spark, lake, known)).select("date").distinct()
+        for date in known - {r["date"] for r in still.collect()}:
+            clear_partition(spark, lake.bad_rows, QUARANTINE_SCHEMA, date=date)
 
 
 def process_dates(spark: SparkSession, lake: Lake, dates: Collection[dt.date]) -> list[dt.date]:
