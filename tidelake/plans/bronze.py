@@ -19,6 +19,7 @@ from tidelake.schemas import BAD_LINE_SCHEMA, BRONZE_COLUMNS, BRONZE_TABLE_SCHEM
 from tidelake.session import configure
 from tidelake.sources import ledger, raw
 from tidelake.sources.lake import (
+    ROWS_PER_FILE,
     Lake,
     clear_partition,
     overwrite_partitions,
@@ -44,7 +45,8 @@ def land_lines(lines: DataFrame, lake: Lake, ingest_at: dt.datetime, slot: str)
     staging area; one writer per slot.
     """
     spark = lines.sparkSession
-    flatten_lines(lines, ingest_at).write.mode("overwrite").parquet(lake.staging(slot))
+    staged = flatten_lines(lines, ingest_at).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+    staged.parquet(lake.staging(slot))
     flat = spark.read.parquet(lake.staging(slot))
 
     # One row per file of the batch, so bounded by the number of files.

@@ -26,6 +26,10 @@ from tidelake.schemas import (
 # each task writes to so few partitions that the extra shuffle costs more than it saves.
 REGROUP_FROM = 6
 
+# Copies of one row compress to almost nothing, so file sizes alone would let a single file, and
+# the one task that later reads it, hold any number of them.
+ROWS_PER_FILE = 1_000_000
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -130,6 +134,7 @@ def overwrite_partitions(df: DataFrame, path: str, keys: list[str], expected: in
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*keys)
         .parquet(path)
     )
