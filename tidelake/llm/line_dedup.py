@@ -2,8 +2,8 @@
 
 A line is normalised byte by byte (A-Z to lower case, ASCII punctuation to spaces, digits to 0) and is
 the sequence of its words. Lines with equal sequences are one line. Two others are linked if their
-64-bit SimHashes over words differ in at most three bits and their normalised texts have an edit
-similarity of at least 0.9. The SimHash is cut into five blocks: of three differing bits at least two
+64-bit SimHashes over words differ in at most three bits and their word sequences have an edit
+similarity (1 - edits / words of the longer) of at least 0.9. The SimHash is cut into five blocks: of three differing bits at least two
 blocks stay clear, so the ten pairs of blocks are the join keys (26 bits each). Raise ``BLOCKS`` to six
 (three clear blocks, 32 bits) where a corpus has billions of lines.
 
@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.linking import linked_groups
-from tidelake.llm.tables import written
+from tidelake.llm.linking import linked_groups, shared_buckets
+from tidelake.llm.tables import discard, written
 from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, as_long, bit_lanes, majority, mix, slices
 
 RADIUS = 3
@@ -93,15 +93,16 @@ def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line", "simhash"])
 
 
-def line_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key and normalised text of every line with words."""
+def line_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key and word sequence of every line with words: a character beyond the basic plane for each word."""
     for batch in batches:
         for _, _, data, offsets in slices(batch.column("text")):
             lines = Lines(data, offsets)
-            edges = pa.py_buffer(lines.edges.astype(np.int32))
-            whole = pa.StringArray.from_buffers(len(lines.edges) - 1, edges, pa.py_buffer(lines.data))
-            bodies = whole.take(pa.array(lines.with_words))
-            yield pa.RecordBatch.from_arrays([pa.array(as_long(lines.keys())), bodies], names=["line", "body"])
+            code = (0x10000 + lines.hashes % U64(0xF0000)).astype(np.uint32)
+            utf8 = np.stack([0xF0 | code >> 18, 0x80 | code >> 12 & 0x3F, 0x80 | code >> 6 & 0x3F, 0x80 | code & 0x3F], axis=1).astype(np.uint8)
+            edges = pa.py_buffer((4 * lines.bounds).astype(np.int32))
+            codes = pa.StringArray.from_buffers(len(lines.n), edges, pa.py_buffer(utf8)).take(pa.array(lines.with_words))
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(lines.keys())), codes], names=["line", "codes"])
 
 
 def without_lines(schema_names: list[str]):
@@ -138,11 +139,7 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         return F.shiftrightunsigned("simhash", width[k]).bitwiseAND((1 << (width[k + 1] - width[k])) - 1)
 
     keys = [F.xxhash64(F.lit(n), *(block(k) for k in chosen)) for n, chosen in enumerate(combinations(range(BLOCKS), BLOCKS - RADIUS))]
-    blocks = firsts.select(F.explode(F.array(*keys)).alias("bucket"), F.col("line").alias("id"))
-    spread = blocks.selectExpr("bucket", "id", "min(id) OVER (PARTITION BY bucket) AS low", "max(id) OVER (PARTITION BY bucket) AS high")
-    shared = written(spread.where("low <> high").select("bucket", "id"))
-    info = firsts.select(F.col("line").alias("id"), F.struct("simhash").alias("info"))
-    rows = written(shared.join(info, "id").select("bucket", "id", "info"))
+    shared = written(shared_buckets(firsts.select(F.explode(F.array(*keys)).alias("bucket"), F.col("line").alias("id"))))
 
     def near(a: Column, b: Column) -> Column:
         return F.bit_count(a["simhash"].bitwiseXOR(b["simhash"])) <= RADIUS
@@ -150,15 +147,17 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs)
         needed = written(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct())
-        bodies = docs.select("text").mapInArrow(line_bodies, "line long, body string").join(small_side(needed), "line", "left_semi")
-        bodies = bodies.select("line", F.trim(F.regexp_replace("body", "[ \\t\\n\\x0B\\f\\r]+", " ")).alias("body"))
-        bodies = written(bodies.dropDuplicates(["line"]))
-        both = pairs.join(bodies.toDF("a", "a_body"), "a").join(bodies.toDF("b", "b_body"), "b")
-        longest = "greatest(char_length(a_body), char_length(b_body))"
-        most = f"cast(floor({longest} * {1 - SIMILAR:.6f} + 1e-9) as int)"
-        return both.where(f"levenshtein(a_body, b_body, {most}) >= 0").select("a", "b")
-
-    groups = linked_groups(rows, near, verify).select(F.col("id").alias("line"), "component")
+        codes = docs.select("text").mapInArrow(line_codes, "line long, codes string").join(small_side(needed), "line", "left_semi")
+        codes = written(codes.dropDuplicates(["line"]))
+        both = pairs.join(codes.toDF("a", "a_codes"), "a").join(codes.toDF("b", "b_codes"), "b")
+        most = f"cast(floor(greatest(char_length(a_codes), char_length(b_codes)) * {1 - SIMILAR:.6f} + 1e-9) as int)"
+        linked = written(both.where(f"levenshtein(a_codes, b_codes, {most}) >= 0").select("a", "b"))
+        discard(pairs, needed, codes)
+        return linked
+
+    info = firsts.select(F.col("line").alias("id"), F.struct("simhash").alias("info"))
+    groups = linked_groups(shared, info, near, verify).select(F.col("id").alias("line"), "component")
+    discard(shared)
     named = written(firsts.select("line", "first", "n_rows").join(groups, "line", "left").withColumn("component", F.coalesce("component", "line")))
     best = named.groupBy("component").agg(F.min("first").alias("best"))
     return named.join(best, "component").select("line", "n_rows", "first", "best")

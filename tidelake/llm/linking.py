@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.tables import written
+from tidelake.llm.tables import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,48 +31,52 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         down = large.where("a <> b").distinct()
         low = down.groupBy("a").agg(F.min("b").alias("low"))
-        joined = down.join(low, "a")
-        small = joined.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = written(small.union(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct())
-        told = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(told) == state:
+        small = down.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        last, edges = edges, written(small.union(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct())
+        discard(last)
+        told = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if told == state:
             break
-        state = tuple(told)
+        state = told
     stars = edges.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component")
     return stars.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """(bucket, id, star): rows of buckets with several ids, each once, with the bucket's smallest id.
+
+    One shuffle of ``rows`` (bucket, id); most buckets have one id, and their rows end there.
+    """
+    both = rows.selectExpr("bucket", "id", "min(id) OVER (PARTITION BY bucket) AS star", "max(id) OVER (PARTITION BY bucket) AS last")
+    return both.where("star <> last").select("bucket", "id", "star").dropDuplicates(["bucket", "id", "star"])
+
+
 def linked_groups(
-    rows: DataFrame,
+    shared: DataFrame,
+    facts: DataFrame,
     near: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """(id, component) of all rows that have a link.
+    """(id, component) of all ids that have a link.
 
-    ``rows``: (bucket, id, info), each pair of bucket and id once; they are read several times, so
-    they should be a written table. ``near(info, info)`` is a cheap necessary condition and
-    ``verify`` keeps the pairs (a, b) that are linked.
+    ``shared`` is a written table of ``shared_buckets`` and ``facts`` has (id, info) of all its ids.
+    ``near(info, info)`` is a cheap necessary condition; ``verify`` keeps the pairs (a, b) that are linked.
     """
-    star = F.min(F.struct("id", "info")).over(Window.partitionBy("bucket"))
-    starred = written(rows.withColumn("star", star))
-    first = (
-        starred.where((F.col("id") != F.col("star.id")) & near(F.col("info"), F.col("star.info")))
-        .select(F.col("star.id").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
-    links = written(verify(first))
+    stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b")).distinct()
+    known = stars.join(facts.toDF("a", "a_info"), "a").join(facts.toDF("b", "b_info"), "b")
+    links = written(verify(known.where(near(F.col("a_info"), F.col("b_info"))).select("a", "b")))
     groups = written(components(links))
-
-    def grouped(df: DataFrame, key: str, name: str) -> DataFrame:
-        known = groups.select(F.col("id").alias(key), F.col("component").alias(name))
-        return df.join(known, key, "left").withColumn(name, F.coalesce(name, key))
-
-    named = grouped(starred.select("bucket", "id", "info", F.col("star.id").alias("star_id")), "id", "component")
-    named = written(grouped(named, "star_id", "star_component"))
-    other = F.col("component") != F.col("star_component")
-    left = named.where(other).select("bucket", F.col("id").alias("b"), F.col("info").alias("b_info"), F.col("component").alias("b_component"))
-    right = named.where("id <> star_id").select("bucket", F.col("id").alias("a"), F.col("info").alias("a_info"), F.col("component").alias("a_component"), other.alias("a_other"))
+    named = facts.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    here = Window.partitionBy("bucket")
+    least, most = F.min("component").over(here).alias("least"), F.max("component").over(here).alias("most")
+    mixed = shared.join(named, "id").select("*", least, most).where("least <> most AND id <> star")
+    mixed = written(mixed.select("bucket", "id", "info", "component", (F.col("component") != F.col("least")).alias("other")))
+    left = mixed.where("other").toDF("bucket", "b", "b_info", "b_component", "b_other")
+    right = mixed.toDF("bucket", "a", "a_info", "a_component", "a_other")
     met = (F.col("a_component") != F.col("b_component")) & (~F.col("a_other") | (F.col("a") < F.col("b")))
     pairs = left.join(right, (left.bucket == right.bucket) & met & near(F.col("a_info"), F.col("b_info"))).select("a", "b").distinct()
-    late = verify(pairs)
-    return components(written(links.union(late)))
+    late = written(verify(pairs))
+    discard(mixed)
+    found = written(components(links.union(late)))
+    discard(links, groups, late)
+    return found

@@ -13,9 +13,10 @@ never the result.
 The number of blocks goes with the size band of a set (powers of 16). A set near the upper end of its
 band joins the next band as well, where its larger partners are.
 
-Candidates that share a key are pruned by size and by a 256-bit parity sketch, whose Hamming distance
-is a lower bound of the differing shingles too; the rest are verified on their whole shingle sets.
-Shingles are compared by 64-bit hashes.
+Candidates that share a key are pruned by size and by parity sketches of 256 and 4096 bits, whose
+Hamming distance is a lower bound of the differing shingles too; the rest are verified on their whole
+shingle sets.
+Shingles are compared by 64-bit hashes, sets by 64 bits while candidates are sought and 128 bits in the end.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.linking import linked_groups
-from tidelake.llm.tables import written
+from tidelake.llm.linking import linked_groups, shared_buckets
+from tidelake.llm.tables import discard, written
 from tidelake.llm.textkit import STEP, U64, Words, as_long, mix, shingles_of, slices
 
 COMMON_SHINGLES = 20_000
 SMALL_SIDE_ROWS = 500_000
 BAND_BITS = 4
+SKETCH_BITS = 4096
 SETS = "doc_id long, n_shingles long, set1 long, set2 long, s0 long, s1 long, s2 long, s3 long"
 
 
@@ -52,9 +54,9 @@ def digest(grams: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in as_long(mix(pair + U64(len(grams)))))
 
 
-def dense_sketch(grams: np.ndarray) -> np.ndarray:
-    parity = np.bincount((grams & U64(255)).astype(np.int64), minlength=256) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+def dense_sketch(grams: np.ndarray, bits: int) -> np.ndarray:
+    parity = np.bincount((grams & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8))
 
 
 def describe_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +65,7 @@ def describe_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for row, grams in shingle_sets(batch.column("text")):
             if len(grams):
                 out[:3, row] = len(grams), *digest(grams)
-                out[3:, row] = dense_sketch(grams)
+                out[3:, row] = dense_sketch(grams, 256).view(np.int64)
         names = ["doc_id", "n_shingles", "set1", "set2", "s0", "s1", "s2", "s3"]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, out)], names=names)
 
@@ -124,7 +126,7 @@ def tokens_of(common: np.ndarray):
 
             def packed() -> pa.RecordBatch:
                 ids = np.repeat(np.array(owners, dtype=np.int64), [len(k) for k in keys])
-                return pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(keys))), pa.array(ids)], names=["token", "set1"])
+                return pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(keys))), pa.array(ids)], names=["bucket", "id"])
 
             for _, grams in shingle_sets(batch.column("text")):
                 if len(grams):
@@ -145,6 +147,28 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_SIDE_ROWS else df
 
 
+def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to (doc_id, text) which set the text has, its size and its large sketch."""
+    for batch in batches:
+        for at, to, data, offsets in slices(batch.column("text")):
+            words = Words(data, offsets)
+            hashes, bounds = words.hashes(lower=True), words.bounds
+            sets = [np.unique(shingles_of(hashes[bounds[i] : bounds[i + 1]])) for i in range(to - at)]
+            keys = pa.array([digest(grams)[0] for grams in sets], pa.int64())
+            sizes = pa.array([len(grams) for grams in sets], pa.int64())
+            sketches = pa.array([dense_sketch(grams, SKETCH_BITS).tobytes() for grams in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, batch.column("text").slice(at, to - at), sizes, sketches], names=["id", "text", "n", "sketch"])
+
+
+def within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose large sketches differ in no more bits than linked sets can."""
+    for batch in batches:
+        left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64) for c in ("a_sketch", "b_sketch"))
+        apart = np.bitwise_count(left ^ right).reshape(len(batch), -1).sum(axis=1, dtype=np.int64)
+        total = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(7 * apart <= total))
+
+
 def verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = np.zeros(len(batch), dtype=bool)
@@ -182,28 +206,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = texts.where("doc_id IS NOT NULL")
     common = (
         named.select("text").mapInArrow(count_common, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "gram").limit(COMMON_SHINGLES).select("gram").toPandas()["gram"].to_numpy(np.int64)
+        .orderBy(F.desc("n"), "gram").limit(COMMON_SHINGLES).select("gram").toArrow().column("gram").to_numpy()
     )
-    tokens = named.select("text").mapInArrow(tokens_of(common), "token long, set1 long")
-    # A key that only one set has leads nowhere; its rows end in the task that reads them.
-    spread = tokens.selectExpr(
-        "token", "set1", "min(set1) OVER (PARTITION BY token) AS low", "max(set1) OVER (PARTITION BY token) AS high"
-    )
-    shared = spread.where("low <> high").select("token", "set1").dropDuplicates(["token", "set1"])
+    tokens = named.select("text").mapInArrow(tokens_of(common), "bucket long, id long")
+    shared = written(shared_buckets(tokens))
     info = F.struct(F.col("n_shingles").alias("n"), "s0", "s1", "s2", "s3")
-    rows = written(written(shared).join(classes.select("set1", "id", info.alias("info")), "set1").select(F.col("token").alias("bucket"), "id", "info"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs)
-        needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        found = named.join(small_side(written(needed)), named.doc_id == F.col("id"), "left_semi")
-        # Of a doc_id that repeats with several texts, only the text of the class counts; its digest tells.
-        bodies = written(found.dropDuplicates(["doc_id", "text"]))
-        left = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-        right = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
-        return pairs.join(left, "a").join(right, "b").mapInArrow(verify_pairs, "a long, b long").distinct()
-
-    groups = linked_groups(rows, may_link, verify).withColumnRenamed("component", "group_id")
-    groups = classes.select("set1", "set2", "id").join(groups, "id", "left").select("set1", "set2", F.coalesce("group_id", "id").alias("component_id"))
+        needed = pairs.select(F.col("a").alias("set1")).union(pairs.select("b")).distinct()
+        needed = written(classes.join(needed, "set1", "left_semi").select(F.col("id").alias("_id")))
+        found = named.join(small_side(needed), named.doc_id == F.col("_id"), "left_semi")
+        # Of a doc_id that repeats with several texts all come along; pairs find theirs by its digest.
+        bodies = written(found.mapInArrow(with_sketch, "id long, text string, n long, sketch binary").dropDuplicates(["id"]))
+
+        def sided(df: DataFrame, *columns: str) -> DataFrame:
+            left = bodies.select(F.col("id").alias("a"), *(F.col(c).alias(f"a_{c}") for c in columns))
+            right = bodies.select(F.col("id").alias("b"), *(F.col(c).alias(f"b_{c}") for c in columns))
+            return df.join(left, "a").join(right, "b")
+
+        close = written(sided(pairs, "n", "sketch").mapInArrow(within_bound, "a long, b long"))
+        linked = written(sided(close, "text").mapInArrow(verify_pairs, "a long, b long"))
+        discard(pairs, needed, bodies, close)
+        return linked
+
+    groups = linked_groups(shared, classes.select(F.col("set1").alias("id"), info.alias("info")), may_link, verify)
+    discard(shared)
+    # A group's component is its smallest doc_id, not its smallest digest.
+    member = classes.select("set1", "set2", "id").join(groups.toDF("set1", "group"), "set1", "left")
+    least = member.where("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("least"))
+    member = member.join(least, "group", "left").select("set1", "set2", F.coalesce("least", "id").alias("component_id"))
     alone = F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")))
-    return sets.join(groups, ["set1", "set2"], "left").select("doc_id", "n_shingles", alone.alias("component_id"))
+    return sets.join(member, ["set1", "set2"], "left").select("doc_id", "n_shingles", alone.alias("component_id"))

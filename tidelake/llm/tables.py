@@ -22,3 +22,12 @@ def written(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made, once nothing is computed from them any more."""
+    for df in tables:
+        for path in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            if "/tidelake-" in path:
+                folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

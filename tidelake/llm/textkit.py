@@ -42,15 +42,23 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=U64)
 
 
-_grown: dict[str, np.ndarray] = {}
+class PlaceValues:
+    """Powers of an odd base modulo 2**64 and of its inverse, made as far as a worker needs them."""
 
+    def __init__(self):
+        self.up = self.down = np.zeros(0, dtype=U64)
 
-def place_values(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64 and of its inverse, at least ``n`` of each."""
-    if len(_grown.get("up", ())) < n:
-        size = max(n, 2 * SLICE_BYTES)
-        _grown["up"], _grown["down"] = powers(BASE, size), powers(pow(BASE, -1, 1 << 64), size)
-    return _grown["up"], _grown["down"]
+    def __reduce__(self):
+        return PlaceValues, ()  # functions sent to workers leave the values behind
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * SLICE_BYTES)
+            self.up, self.down = powers(BASE, size), powers(pow(BASE, -1, 1 << 64), size)
+        return self.up, self.down
+
+
+PLACE_VALUES = PlaceValues()
 
 
 class Words:
@@ -73,7 +81,7 @@ class Words:
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of every word; ``lower`` folds A-Z first."""
         data = LOWER[self.data] if lower else self.data
-        up, down = place_values(len(data) + 1)
+        up, down = PLACE_VALUES.upto(len(data) + 1)
         sums = np.zeros(len(data) + 1, dtype=U64)
         np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(U64))
