@@ -132,18 +132,18 @@ def scan(docs: DataFrame, known: list[tuple[str, str, int]], keep: list[str]) ->
     """
     keep = [c for c in keep if c not in ("license", "line_licenses", "n_license_lines")]
     longest = max([n for _, _, n in known], default=0)
-    table = docs.sparkSession.createDataFrame([x[:2] for x in known], "digest string, name string")
+    table = docs.sparkSession.createDataFrame([x[:2] for x in known], "_digest string, _name string")
     rows = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_text", F.col("text").cast("string"))
     whole = F.array(F.struct(words_only(F.col("_text")).alias("words"), F.lit(False).alias("is_line")))
     lines = F.transform(F.split("_text", "\n"), lambda line: F.struct(words_only(line).alias("words"), F.lit(True).alias("is_line")))
-    units = rows.select("_row", *keep, F.explode(F.concat(whole, F.coalesce(lines, F.array_repeat(whole[0], 0)))).alias("unit"))
-    units = units.select("_row", *keep, digest(F.col("unit.words"), longest).alias("digest"), "unit.is_line").join(table, "digest", "left")
+    units = rows.select("_row", *keep, F.explode(F.concat(whole, F.coalesce(lines, F.array_repeat(whole[0], 0)))).alias("_unit"))
+    units = units.select("_row", *keep, digest(F.col("_unit.words"), longest).alias("_digest"), F.col("_unit.is_line").alias("_is_line")).join(table, "_digest", "left")
     # A row's units are in one task, so a row is what each leaves for the shuffle.
     found = units.groupBy("_row").agg(
         *(F.first(c).alias(c) for c in keep),
-        F.max(F.when(~F.col("is_line"), F.col("name"))).alias("license"),
-        F.sort_array(F.collect_set(F.when(F.col("is_line"), F.col("name")))).alias("line_licenses"),
-        F.count(F.when(F.col("is_line"), F.col("name"))).alias("n_license_lines"),
+        F.max(F.when(~F.col("_is_line"), F.col("_name"))).alias("license"),
+        F.sort_array(F.collect_set(F.when(F.col("_is_line"), F.col("_name")))).alias("line_licenses"),
+        F.count(F.when(F.col("_is_line"), F.col("_name"))).alias("n_license_lines"),
     )
     return found.drop("_row")
 

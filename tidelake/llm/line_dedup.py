@@ -2,7 +2,8 @@
 
 A line is normalised byte by byte (A-Z to lower case, ASCII punctuation to spaces, digits to 0) and is
 the sequence of its words. Lines with equal sequences are one line. Two others are linked if their
-64-bit SimHashes over words differ in at most three bits and their word sequences have an edit
+64-bit SimHashes over words (of more than three bytes, where there are any: long lines of one language
+would otherwise resemble each other by their smallest words) differ in at most three bits and their word sequences have an edit
 similarity (1 - edits / words of the longer) of at least 0.9. The SimHash is cut into five blocks: of three differing bits at least two
 blocks stay clear, so the ten pairs of blocks are the join keys (26 bits each). Raise ``BLOCKS`` to six
 (three clear blocks, 32 bits) where a corpus has billions of lines.
@@ -28,6 +29,7 @@ from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, as_long, bit_lan
 RADIUS = 3
 BLOCKS = 5
 SIMILAR = 0.9
+SHORT_WORD = 3
 SMALL_SIDE_ROWS = 500_000
 
 _digits = np.arange(256)
@@ -53,6 +55,7 @@ class Lines:
         self.hashes, self.bounds = words.hashes(), words.bounds
         self.n = np.diff(self.bounds)
         self.with_words = np.flatnonzero(self.n)
+        self.telling = words.ends - words.starts > SHORT_WORD
 
     def keys(self) -> np.ndarray:
         """A hash of the word sequence of every line with words."""
@@ -65,12 +68,17 @@ class Lines:
     def simhashes(self) -> np.ndarray:
         if not len(self.hashes):
             return self.hashes
-        starts, n = self.bounds[:-1][self.with_words], self.n[self.with_words]
-        out = majority([np.add.reduceat(lane, starts) for lane in bit_lanes(self.hashes)], np.minimum(n, MOST_WORDS))
+        # Words that say little count in lines that have no others.
+        told = np.concatenate(([0], np.cumsum(self.telling)))[self.bounds]
+        used = self.telling | np.repeat(np.diff(told) == 0, self.n)
+        hashes = self.hashes[used]
+        starts = np.concatenate(([0], np.cumsum(used)))[self.bounds[self.with_words]]
+        n = np.diff(np.append(starts, len(hashes)))
+        out = majority([np.add.reduceat(lane, starts) for lane in bit_lanes(hashes)], np.minimum(n, MOST_WORDS))
         for i in np.flatnonzero(n > MOST_WORDS):
             sums = np.zeros((8, 8), dtype=np.int64)
             for at in range(starts[i], starts[i] + n[i], 1 << 14):
-                part = self.hashes[at : min(at + (1 << 14), starts[i] + n[i])]
+                part = hashes[at : min(at + (1 << 14), starts[i] + n[i])]
                 sums += np.unpackbits(part.view(np.uint8).reshape(-1, 8, 1), axis=2, bitorder="little").sum(axis=0, dtype=np.int64)
             most = (sums > n[i] // 2).T[:, ::-1]  # the order in which majority() places them
             out[i] = np.packbits(most.reshape(-1), bitorder="little").view(U64)[0]
@@ -109,7 +117,7 @@ def without_lines(schema_names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, kept, dropped = batch.column("text"), [], []
-            for i, gone in enumerate(batch.column("gone")):
+            for i, gone in enumerate(batch.column("_gone")):
                 gone = set(gone.as_py() or ())
                 text = texts[i].as_py()
                 if gone:
@@ -178,9 +186,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     # Rows that repeat a document bring each of its lines twice; both are at the same place.
     gone = (
         lines.join(repeated, "line").where(~here.eqNullSafe(F.col("best"))).groupBy("doc_id", "version")
-        .agg(F.sort_array(F.collect_set("line_no")).alias("gone")).toDF("_doc", "_version", "gone")
+        .agg(F.sort_array(F.collect_set("line_no")).alias("gone")).toDF("_doc", "_version", "_gone")
     )
     keyed = docs.withColumn("_v", F.xxhash64("text"))
     joined = keyed.join(gone, keyed["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.col("_v") == F.col("_version")), "left")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_dropped", T.IntegerType())])
-    return joined.select(*docs.columns, "gone").mapInArrow(without_lines(docs.columns), schema)
+    return joined.select(*docs.columns, "_gone").mapInArrow(without_lines(docs.columns), schema)

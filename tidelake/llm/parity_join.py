@@ -13,7 +13,7 @@ never the result.
 The number of blocks goes with the size band of a set (powers of 16). A set near the upper end of its
 band joins the next band as well, where its larger partners are.
 
-Candidates that share a key are pruned by size and by parity sketches of 256 and 4096 bits, whose
+Candidates that share a key are pruned by size and by parity sketches of 256 bits and of 4096 or more, whose
 Hamming distance is a lower bound of the differing shingles too; the rest are verified on their whole
 shingle sets.
 Shingles are compared by 64-bit hashes, sets by 64 bits while candidates are sought and 128 bits in the end.
@@ -32,10 +32,13 @@ from tidelake.llm.linking import linked_groups, shared_buckets
 from tidelake.llm.tables import discard, written
 from tidelake.llm.textkit import STEP, U64, Words, as_long, mix, shingles_of, slices
 
-COMMON_SHINGLES = 20_000
+COMMON_SHINGLES = 200_000
+COMMON_BITS = 23
 SMALL_SIDE_ROWS = 500_000
 BAND_BITS = 4
+#: Bits of the large sketch, for sets of up to four shingles a bit, and as it grows.
 SKETCH_BITS = 4096
+SKETCH_STEP = 16
 SETS = "doc_id long, n_shingles long, set1 long, set2 long, s0 long, s1 long, s2 long, s3 long"
 
 
@@ -71,14 +74,18 @@ def describe_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def count_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles held by at least four and 1 % of the texts of a slice, with their counts there."""
+    """Shingles held by at least two different sets of a slice, with their counts there."""
     for batch in batches:
         for at, to, data, offsets in slices(batch.column("text"), 4 << 20):
             words = Words(data, offsets)
             hashes, bounds = words.hashes(lower=True), words.bounds
-            sets = [np.unique(shingles_of(hashes[bounds[i] : bounds[i + 1]])) for i in range(to - at)]
-            grams, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= max(4, (to - at) / 100)
+            sets = {}
+            for i in range(to - at):
+                grams = np.unique(shingles_of(hashes[bounds[i] : bounds[i + 1]]))
+                if len(grams):
+                    sets.setdefault(digest(grams), grams)
+            grams, counts = np.unique(np.concatenate([np.zeros(0, U64), *sets.values()]), return_counts=True)
+            often = counts > 1
             yield pa.RecordBatch.from_arrays([pa.array(as_long(grams[often])), pa.array(counts[often])], names=["gram", "n"])
 
 
@@ -100,7 +107,7 @@ def set_tokens(grams: np.ndarray, is_common: np.ndarray) -> np.ndarray:
     n = len(grams)
     need = n // 3 + 1
     own = (n.bit_length() - 1) // BAND_BITS
-    common = is_common[grams >> U64(44)]
+    common = is_common[grams >> U64(64 - COMMON_BITS)]
     parts = (grams[~common], grams[common]) if common.any() else (grams, grams[:0])
     out: list[np.ndarray] = []
 
@@ -117,8 +124,8 @@ def set_tokens(grams: np.ndarray, is_common: np.ndarray) -> np.ndarray:
 
 
 def tokens_of(common: np.ndarray):
-    is_common = np.zeros(1 << 20, dtype=bool)
-    is_common[common.view(U64) >> U64(44)] = True
+    is_common = np.zeros(1 << COMMON_BITS, dtype=bool)
+    is_common[common.view(U64) >> U64(64 - COMMON_BITS)] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,15 +163,29 @@ def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [np.unique(shingles_of(hashes[bounds[i] : bounds[i + 1]])) for i in range(to - at)]
             keys = pa.array([digest(grams)[0] for grams in sets], pa.int64())
             sizes = pa.array([len(grams) for grams in sets], pa.int64())
-            sketches = pa.array([dense_sketch(grams, SKETCH_BITS).tobytes() for grams in sets], pa.binary())
+            sketches = pa.array([dense_sketch(grams, sketch_bits(len(grams))).tobytes() for grams in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([keys, batch.column("text").slice(at, to - at), sizes, sketches], names=["id", "text", "n", "sketch"])
 
 
+def sketch_bits(n: int) -> int:
+    bits = SKETCH_BITS
+    while n > bits // 4:
+        bits *= SKETCH_STEP
+    return bits
+
+
+def bits_apart(left: bytes, right: bytes) -> int:
+    """Hamming distance of two sketches; the longer one is folded to the length of the other."""
+    size = min(len(left), len(right))
+    a, b = (np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in (left, right))
+    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
+
+
 def within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose large sketches differ in no more bits than linked sets can."""
     for batch in batches:
-        left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64) for c in ("a_sketch", "b_sketch"))
-        apart = np.bitwise_count(left ^ right).reshape(len(batch), -1).sum(axis=1, dtype=np.int64)
+        sketches = zip(batch.column("a_sketch"), batch.column("b_sketch"), strict=True)
+        apart = np.array([bits_apart(x.as_py(), y.as_py()) for x, y in sketches], dtype=np.int64)
         total = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(7 * apart <= total))
 

@@ -65,13 +65,13 @@ def assign_shards(rows: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id"
     coarse = written(coarse)
     # Cells that no prefix of that many bits makes small enough: their hashes, bit by bit.
     tight = sizes.join(coarse.where("depth IS NULL").select("cell"), F.shiftright("hash", HASH_BITS - bits) == F.col("cell")).select(F.col("hash").alias("cell"), "bytes")
-    fine = fitting_depths(tight, min(bits + 1, HASH_BITS), HASH_BITS, limit).toDF("hash", "hash_bytes", "fine_depth")
+    fine = fitting_depths(tight, min(bits + 1, HASH_BITS), HASH_BITS, limit).toDF("_same", "_same_bytes", "_fine")
     over = written(fine)
     placed = (
-        rows.join(coarse.toDF("_cell", "depth"), F.shiftright("_hash", HASH_BITS - bits) == F.col("_cell"))
-        .join(over, F.col("_hash") == F.col("hash"), "left")
-        .withColumn("depth", F.coalesce("depth", "fine_depth", F.lit(HASH_BITS)))
-        .withColumn("_over", F.coalesce((F.col("hash_bytes") > limit), F.lit(False)))
+        rows.join(coarse.toDF("_cell", "_depth"), F.shiftright("_hash", HASH_BITS - bits) == F.col("_cell"))
+        .join(over, F.col("_hash") == F.col("_same"), "left")
+        .withColumn("depth", F.coalesce("_depth", "_fine", F.lit(HASH_BITS)))
+        .withColumn("_over", F.coalesce((F.col("_same_bytes") > limit), F.lit(False)))
     )
     path = F.lpad(F.conv(F.col("_hash").cast("string"), 10, 2), HASH_BITS, "0")
     placed = placed.withColumn("shard", F.substr(path, F.lit(1), F.col("depth")))
@@ -86,7 +86,7 @@ def paged(rows: DataFrame, limit: int) -> DataFrame:
     Each hash is dealt over lanes of about half the limit first, so no task sees more than a few shards'
     worth of rows of one hash; inside a lane rows fill pages in order.
     """
-    lanes = F.greatest(F.lit(1), F.ceil(2 * F.col("hash_bytes") / F.lit(limit)))
+    lanes = F.greatest(F.lit(1), F.ceil(2 * F.col("_same_bytes") / F.lit(limit)))
     dealt = rows.withColumn("_lane", F.pmod(F.xxhash64("_row"), lanes))
     earlier = Window.partitionBy("_hash", "_lane").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     # Pages of half the limit by where a row begins: what begins in one ends within the limit, if its rows
