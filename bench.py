@@ -64,7 +64,7 @@ def main() -> None:
     # Inputs of the jobs under test; storing them is not what is measured.
     lines_path = home.path("input", "lines")
     sample.raw_lines(events).repartition(int(CPUS)).write.parquet(lines_path)
-    store.overwrite_partitions(sample.bronze_rows(events), home.bronze, ["date", "hour"], expected=1000)
+    store.overwrite_partitions(sample.bronze_rows(events), home.bronze, ["date", "hour"])
     bounds = events.agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi")).first()
     days = backfill.days_between(bounds["lo"], bounds["hi"])
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from conftest import day
-from tidelake.functions import normalize_ts
+from tidelake.functions import as_naive_utc
 from tidelake.plans import dashboard
 from tidelake.schemas import ENTITIES, GOLD_TABLES
 
@@ -54,9 +54,9 @@ def found(df, *columns):
 
 def test_aware_times_lose_their_zone():
     aware = dt.datetime(2026, 4, 26, 14, tzinfo=dt.timezone(dt.timedelta(hours=2)))
-    assert normalize_ts(aware) == dt.datetime(2026, 4, 26, 12)
-    assert normalize_ts(AS_OF) is AS_OF
-    assert normalize_ts(None) is None
+    assert as_naive_utc(aware) == dt.datetime(2026, 4, 26, 12)
+    assert as_naive_utc(AS_OF) is AS_OF
+    assert as_naive_utc(None) is None
 
 
 @pytest.mark.parametrize("preset, hours", [("1h", 1), ("4h", 4), ("24h", 24), ("7d", 168), ("30d", 720)])
@@ -68,7 +68,7 @@ def test_clock_ranges(preset, hours):
 def test_max_has_no_start_and_the_clock_is_the_default():
     span = dashboard.resolve_range_from_clock("max")
     assert span.start is None and span.end.tzinfo is None
-    assert abs(span.end - normalize_ts(dt.datetime.now(dt.timezone.utc))) < dt.timedelta(minutes=1)
+    assert abs(span.end - as_naive_utc(dt.datetime.now(dt.timezone.utc))) < dt.timedelta(minutes=1)
 
 
 def test_unknown_presets_and_limits_are_refused(gold):

@@ -89,7 +89,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         extra = {"limit": args.limit} if args.name.startswith("top-") else {}
         rows = QUERIES[args.name](snapshot.open_current(spark, lake), args.preset, **extra)
-        rows.show(10_000, truncate=False)
+        for row in rows.toLocalIterator():
+            print(*row, sep="\t")
 
 
 if __name__ == "__main__":

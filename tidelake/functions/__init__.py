@@ -8,8 +8,7 @@ from tidelake.functions.scalars import (  # noqa: F401
     json_long,
     json_string,
     naive_utc,
-    neighbour_days,
-    normalize_ts,
+    as_naive_utc,
     or_zero,
     parse_ts,
     repo_owner,

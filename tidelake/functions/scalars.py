@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,14 +72,7 @@ def or_zero(total: Column) -> Column:
     return F.coalesce(total, F.lit(0).cast("bigint"))
 
 
-def normalize_ts(value: dt.datetime | None) -> dt.datetime | None:
-    """Aware time to naive UTC; naive times and None pass unchanged."""
-    if value is None or value.tzinfo is None:
-        return value
-    return value.astimezone(dt.timezone.utc).replace(tzinfo=None)
-
-
-def neighbour_days(days: Iterable[dt.date], reach: int = 1) -> list[dt.date]:
-    """The given days plus those up to ``reach`` days before and after, sorted."""
-    offsets = [dt.timedelta(days=n) for n in range(-reach, reach + 1)]
-    return sorted({day + offset for day in days for offset in offsets})
+def as_naive_utc(moment: dt.datetime | None) -> dt.datetime | None:
+    """A clock reading the way the lake stores times; readings without a zone are taken as UTC."""
+    offset = moment.utcoffset() if moment else None
+    return moment if offset is None else moment.replace(tzinfo=None) - offset

@@ -12,10 +12,6 @@ from tidelake.schemas import QUARANTINE_SCHEMA, SILVER_COLUMNS
 MISSING_ID = "missing_event_id"
 MISSING_TYPE = "missing_event_type"
 BAD_TS = "bad_event_ts"
-DAY_OUT_OF_RANGE = "day_out_of_range"
-
-# A row may land this many days before or after the date of the file that carried it.
-DAY_REACH = 1
 
 
 def typed(bronze: DataFrame) -> DataFrame:
@@ -34,17 +30,12 @@ def reject_reason() -> Column:
         F.when(F.col("event_id").isNull(), MISSING_ID)
         .when(F.col("event_type").isNull(), MISSING_TYPE)
         .when(F.col("event_ts").isNull(), BAD_TS)
-        .when(F.abs(F.datediff("event_day", "date")) > DAY_REACH, DAY_OUT_OF_RANGE)
     )
 
 
 def valid_rows(typed_rows: DataFrame) -> DataFrame:
-    """Rows without a ``reject_reason``. An unread time has no day, so the last test drops it."""
-    return typed_rows.where(
-        F.col("event_id").isNotNull()
-        & F.col("event_type").isNotNull()
-        & (F.abs(F.datediff("event_day", "date")) <= DAY_REACH)
-    )
+    """Rows without a ``reject_reason``, however far their day is from the date of their file."""
+    return typed_rows.dropna(subset=["event_id", "event_type", "event_ts"])
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:

@@ -17,8 +17,8 @@ def days_between(first: dt.date, last: dt.date) -> list[dt.date]:
 def rebuild(spark: SparkSession, lake: Lake, first: dt.date, last: dt.date) -> None:
     """Rebuild silver and gold for the event days ``first`` to ``last`` (both included)."""
     days = days_between(first, last)
+    silver.note_days(spark, lake, days)
     silver.build_days(spark, lake, days)
-    silver.clear_absent_days(spark, lake, days)
     silver.quarantine_dates(spark, lake, days)
     gold.build_days(spark, lake, days)
 

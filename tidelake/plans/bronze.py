@@ -8,11 +8,12 @@ Parquet, not another pass over gzip files that cannot be split.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.functions import normalize_ts
+from tidelake.functions import as_naive_utc
 from tidelake.operators.dedup import first_per_file
 from tidelake.operators.flatten import bad_lines, file_stats, flatten_lines, good_lines
 from tidelake.schemas import BAD_LINE_SCHEMA, BRONZE_COLUMNS, BRONZE_TABLE_SCHEMA, LEDGER_SCHEMA
@@ -58,8 +59,8 @@ def land_lines(lines: DataFrame, lake: Lake, ingest_at: dt.datetime, slot: str)
     if not found:
         return []
     rows = first_per_file(good_lines(flat)).select(*BRONZE_COLUMNS, "date", "hour")
-    overwrite_partitions(rows, lake.bronze, ["date", "hour"], expected=len(found))
-    overwrite_partitions(bad_lines(flat), lake.bad_lines, ["source_file"], expected=len(found))
+    overwrite_partitions(rows, lake.bronze, ["date", "hour"])
+    overwrite_partitions(bad_lines(flat), lake.bad_lines, ["source_file"])
     clean = [f["source_file"] for f in found if f["clean"]]
     outdated = read_bad_lines(spark, lake).where(F.col("source_file").isin(clean)).select("source_file").distinct()
     for row in outdated.collect():
@@ -94,16 +95,19 @@ def ingest_hours(
 ) -> list[dt.date]:
     """Land every expected hour that has a file and is not in the ledger; returns changed dates.
 
-    The file list that reaches the driver is bounded by the retention (one file per hour).
+    The file list that reaches the driver is bounded by the retention (one file per hour). A
+    ``start_from`` beyond the retention is refused, so no hour is left out unnoticed.
     """
     configure(spark)
-    now = normalize_ts(as_of or dt.datetime.now(dt.timezone.utc))
-    spine = ledger.hour_spine(ledger.clock_bounds(spark, now, normalize_ts(start_from)), hours_back, retention_days)
+    now, first = as_naive_utc(as_of or dt.datetime.now(dt.timezone.utc)), as_naive_utc(start_from)
+    if first is not None and now - first > dt.timedelta(days=retention_days, hours=2):
+        raise ValueError(f"start_from is more than {retention_days} days back; raise retention_days to land those hours")
+    spine = ledger.hour_spine(ledger.clock_bounds(spark, now, first), hours_back, retention_days)
     wanted = ledger.missing_hours(spine, read_ledger(spark, lake))
     files = raw.list_files(spark, raw_folder).join(wanted, "hour_ts", "left_semi")
     paths = [r["path"] for r in files.select("path").collect()]
     if not paths:
         return []
-    dates = land_lines(raw.scan_lines(spark, paths), lake, dt.datetime.now(dt.timezone.utc), slot="batch")
+    dates = land_lines(raw.scan_lines(spark, paths), lake, dt.datetime.now(dt.timezone.utc), slot=f"batch-{uuid.uuid4().hex}")
     record_empty_hours(files, lake, dt.datetime.now(dt.timezone.utc))
     return dates

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.functions import normalize_ts
+from tidelake.functions import as_naive_utc
 from tidelake.operators import quality
 from tidelake.schemas import BRONZE_TABLE_SCHEMA
 from tidelake.session import configure
@@ -33,7 +33,7 @@ def gold_report(spark: SparkSession, lake: Lake) -> DataFrame:
 def freshness(
     spark: SparkSession, lake: Lake, as_of: dt.datetime | None = None, sla: dt.timedelta = dt.timedelta(hours=2)
 ) -> DataFrame:
-    now = normalize_ts(as_of or dt.datetime.now(dt.timezone.utc))
+    now = as_naive_utc(as_of or dt.datetime.now(dt.timezone.utc))
     return quality.freshness(read_gold(configure(spark), lake)["event_type_hourly"], now, sla)
 
 
@@ -41,7 +41,7 @@ def missing_hours(
     spark: SparkSession, lake: Lake, as_of: dt.datetime | None = None, hours_back: int = 6
 ) -> DataFrame:
     """Expected hours that have not been landed."""
-    now = normalize_ts(as_of or dt.datetime.now(dt.timezone.utc))
+    now = as_naive_utc(as_of or dt.datetime.now(dt.timezone.utc))
     spine = ledger.hour_spine(ledger.clock_bounds(configure(spark), now), hours_back)
     return ledger.missing_hours(spine, read_ledger(spark, lake))
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.functions import bucket_label, naive_utc, normalize_ts, or_zero
+from tidelake.functions import bucket_label, naive_utc, as_naive_utc, or_zero
 from tidelake.schemas import ENTITIES, Entity
 
 Gold = Mapping[str, DataFrame]
@@ -79,7 +79,7 @@ def is_short_preset(preset: str) -> bool:
 def resolve_range_from_clock(preset: str, as_of: dt.datetime | None = None) -> TimeRange:
     if preset not in PRESETS:
         raise UnsupportedPreset(f"Unsupported preset: {preset}")
-    end = normalize_ts(as_of or dt.datetime.now(dt.timezone.utc))
+    end = as_naive_utc(as_of or dt.datetime.now(dt.timezone.utc))
     back = {**SHORT_PRESETS, **LONG_PRESETS}[preset]
     return TimeRange(preset, end - back if back else None, end)
 
@@ -107,7 +107,7 @@ def resolve_range(gold: Gold, preset: str, as_of: dt.datetime | None = None) ->
 
 def preset_ranges(gold: Gold, as_of: dt.datetime) -> DataFrame:
     """All presets with their bounds as rows, without leaving the cluster."""
-    clock = normalize_ts(as_of)
+    clock = as_naive_utc(as_of)
     rows = []
     for preset in PRESETS:
         if is_short_preset(preset):

@@ -7,6 +7,7 @@ staging; the hourly and daily tables are cut from that small result.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Collection
 from functools import partial
 
@@ -19,12 +20,12 @@ from tidelake.session import configure
 from tidelake.sources.lake import Lake, clear_days, overwrite_partitions, read_silver, side_by_side
 
 
-def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date], slot: str = "gold") -> None:
+def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date]) -> None:
     """Recompute all gold tables for the given days; repeating it changes nothing."""
     configure(spark)
     if not days:
         return
-    staged = lake.staging(slot)
+    staged = lake.staging(f"gold-{uuid.uuid4().hex}")
     hourly_cube(read_silver(spark, lake, days)).write.mode("overwrite").partitionBy("entity").parquet(staged)
     cube = spark.read.schema(
         "event_day date, event_hour_ts timestamp, key string, n bigint, entity string"
@@ -34,7 +35,7 @@ def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date], slot:
     def write(table: str, entity: Entity, rows: DataFrame) -> None:
         schema = entity.schema(table)
         overwrite_partitions(
-            rows.select(*schema.fieldNames()), lake.gold(table), ["event_day"], expected=len(days)
+            rows.select(*schema.fieldNames()), lake.gold(table), ["event_day"]
         )
         gone = {d for d in days if (entity.name, d) not in present}
         if gone:

@@ -1,8 +1,9 @@
 """Bronze to silver, day by whole day.
 
-A row belongs to the day it happened, which may differ by one from the date of its file. A day is
-therefore always rebuilt from the files of the day before, the day itself and the day after, so
-an overwrite never loses rows that another file contributed.
+A row belongs to the day it happened, whatever the date of its file. A small table notes which file
+dates hold valid rows of which event days. Changed files touch the days they held before and the days
+they hold now; each of these is rebuilt from all file dates noted for it, so an overwrite neither loses
+rows that another file contributed nor keeps rows that a corrected file no longer has.
 """
 
 from __future__ import annotations
@@ -13,32 +14,55 @@ from collections.abc import Collection
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.functions import neighbour_days
 from tidelake.operators.conform import quarantined, to_silver, typed, valid_rows
-from tidelake.schemas import QUARANTINE_SCHEMA, SILVER_SCHEMA
+from tidelake.schemas import DAY_PAIRS_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from tidelake.session import configure
-from tidelake.sources.lake import Lake, clear_days, clear_partition, overwrite_partitions, read_bad_rows, read_bronze
+from tidelake.sources.lake import (
+    Lake,
+    clear_days,
+    clear_partition,
+    overwrite_partitions,
+    read_bad_rows,
+    read_bronze,
+    read_day_pairs,
+)
 
 
-def days_in(spark: SparkSession, lake: Lake, dates: Collection[dt.date]) -> list[dt.date]:
-    """Event days with valid rows in the files of ``dates``: at most three per date."""
-    rows = valid_rows(typed(read_bronze(spark, lake, dates))).select("event_day").distinct()
-    return sorted(r["event_day"] for r in rows.collect())
+def days_noted(spark: SparkSession, lake: Lake, dates: Collection[dt.date]) -> set[dt.date]:
+    """Event days noted for the given file dates."""
+    pairs = read_day_pairs(spark, lake).where(F.col("date").isin([F.lit(d) for d in sorted(dates)]))
+    return {r["event_day"] for r in pairs.select("event_day").distinct().collect()}
+
+
+def note_days(spark: SparkSession, lake: Lake, dates: Collection[dt.date] | None) -> set[dt.date]:
+    """Note the event days of the files of ``dates`` (None: of all); returns those held before or now."""
+    dates = None if dates is None else set(dates)
+    before = set() if dates is None else days_noted(spark, lake, dates)
+    rows = valid_rows(typed(read_bronze(spark, lake, dates)))
+    pairs = rows.groupBy("date", "event_day").agg(F.count("*").alias("rows"))
+    overwrite_partitions(pairs.select(*DAY_PAIRS_SCHEMA.fieldNames()), lake.day_pairs, ["date"])
+    if dates is None:
+        return before
+    noted = read_day_pairs(spark, lake).where(F.col("date").isin([F.lit(d) for d in sorted(dates)]))
+    if before:
+        held = {r["date"] for r in rows.select("date").distinct().collect()}
+        for date in {r["date"] for r in noted.select("date").distinct().collect()} - held:
+            clear_partition(spark, lake.day_pairs, DAY_PAIRS_SCHEMA, date=date)
+    return before | days_noted(spark, lake, dates)
 
 
 def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date]) -> None:
-    """Rewrite the given event days in one job."""
+    """Rewrite the given event days in one job; days without valid rows are emptied."""
     configure(spark)
-    bronze = read_bronze(spark, lake, neighbour_days(days))
+    if read_day_pairs(spark, lake).isEmpty():
+        note_days(spark, lake, None)
     in_days = F.col("event_day").isin([F.lit(d) for d in sorted(days)])
-    overwrite_partitions(to_silver(bronze).where(in_days), lake.silver, ["event_day"], expected=len(days))
-
-
-def clear_absent_days(spark: SparkSession, lake: Lake, days: Collection[dt.date]) -> None:
-    """Empty those of the given days that bronze no longer has rows for."""
-    gone = set(days) - set(days_in(spark, lake, neighbour_days(days)))
-    if gone:
-        clear_days(spark, lake.silver, SILVER_SCHEMA, gone)
+    pairs = read_day_pairs(spark, lake).where(in_days).select("date", "event_day").distinct().collect()
+    dates, found = {r["date"] for r in pairs}, {r["event_day"] for r in pairs}
+    if found:
+        overwrite_partitions(to_silver(read_bronze(spark, lake, dates)).where(in_days), lake.silver, ["event_day"])
+    if set(days) - found:
+        clear_days(spark, lake.silver, SILVER_SCHEMA, set(days) - found)
 
 
 def quarantine_dates(spark: SparkSession, lake: Lake, dates: Collection[dt.date]) -> None:
@@ -46,7 +70,7 @@ def quarantine_dates(spark: SparkSession, lake: Lake, dates: Collection[dt.date]
     in_dates = F.col("date").isin([F.lit(d) for d in sorted(dates)])
     known = {r["date"] for r in read_bad_rows(spark, lake).where(in_dates).select("date").distinct().collect()}
     rejected = quarantined(read_bronze(spark, lake, dates))
-    overwrite_partitions(rejected, lake.bad_rows, ["date"], expected=len(dates))
+    overwrite_partitions(rejected, lake.bad_rows, ["date"])
     if known:
         still = quarantined(read_bronze(spark, lake, known)).select("date").distinct()
         for date in known - {r["date"] for r in still.collect()}:
@@ -54,11 +78,11 @@ def quarantine_dates(spark: SparkSession, lake: Lake, dates: Collection[dt.date]
 
 
 def process_dates(spark: SparkSession, lake: Lake, dates: Collection[dt.date]) -> list[dt.date]:
-    """Take in changed file dates: rebuild every event day they touch; returns those days."""
+    """Take in changed file dates: rebuild every event day they touch or touched before; returns those days."""
     configure(spark)
     if not dates:
         return []
-    days = days_in(spark, lake, dates)
+    days = sorted(note_days(spark, lake, dates))
     if days:
         build_days(spark, lake, days)
     quarantine_dates(spark, lake, dates)

@@ -110,3 +110,5 @@ ENTITIES = {
     )
 }
 GOLD_TABLES = {table: e for e in ENTITIES.values() for table in (e.daily, e.hourly)}
+
+DAY_PAIRS_SCHEMA = T.StructType([T.StructField("event_day", T.DateType()), T.StructField("rows", _L), T.StructField("date", T.DateType())])

@@ -15,6 +15,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tidelake.schemas import (
     BAD_LINE_SCHEMA,
+    DAY_PAIRS_SCHEMA,
     BRONZE_TABLE_SCHEMA,
     GOLD_TABLES,
     LEDGER_SCHEMA,
@@ -22,10 +23,6 @@ from tidelake.schemas import (
     SILVER_SCHEMA,
 )
 
-# From this many target partitions on, rows are regrouped by partition before a write. Below it,
-# each task writes to so few partitions that the extra shuffle costs more than it saves.
-REGROUP_FROM = 6
-
 # Copies of one row compress to almost nothing, so file sizes alone would let a single file, and
 # the one task that later reads it, hold any number of them.
 ROWS_PER_FILE = 1_000_000
@@ -48,6 +45,10 @@ class Lake:
     def silver(self) -> str:
         return self.path("silver", "events")
 
+    @property
+    def day_pairs(self) -> str:
+        return self.path("silver", "day_pairs")
+
     @property
     def ledger(self) -> str:
         return self.path("ledger")
@@ -98,6 +99,11 @@ def read_silver(spark: SparkSession, lake: Lake, days: Collection[dt.date] | Non
     return _only(read_table(spark, lake.silver, SILVER_SCHEMA), "event_day", days)
 
 
+def read_day_pairs(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Which file dates hold valid rows of which event days."""
+    return read_table(spark, lake.day_pairs, DAY_PAIRS_SCHEMA)
+
+
 def read_gold(spark: SparkSession, lake: Lake, days: Collection[dt.date] | None = None) -> dict[str, DataFrame]:
     return {
         t: _only(read_table(spark, lake.gold(t), e.schema(t)), "event_day", days) for t, e in GOLD_TABLES.items()
@@ -121,17 +127,14 @@ def read_by_name(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, keys: list[str], expected: int) -> None:
+def overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     """Replace exactly the partitions ``df`` has rows for.
 
-    With many target partitions the rows are regrouped first, so a partition becomes a few files;
-    REBALANCE lets AQE split a partition that holds most of the rows instead of giving it to one
-    task.
+    Rows are regrouped first, so a partition becomes a few files; REBALANCE lets AQE split a
+    partition that holds most of the rows instead of giving it to one task.
     """
-    if expected >= REGROUP_FROM:
-        df = df.hint("rebalance", *[F.col(k) for k in keys])
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", ROWS_PER_FILE)

@@ -56,12 +56,3 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 def hour_start():
     """Start of the hour named by ``date`` and the unpadded text ``hour``."""
     return F.col("date").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("hour").cast("int"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input came in fewer pieces, such as one unsplittable file.
-
-    Inputs of at least as many pieces pass unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
