@@ -315,3 +315,11 @@ def test_quotations_become_replies(spark):
 def test_written_tables_survive_and_go(spark, tmp_path):
     table = written(spark.range(5))
     assert table.count() == 5
+
+
+def test_length_bands_lose_no_similar_lines():
+    for longer in range(1, 3000):
+        fewest = longer - int(longer * round(1 - line_dedup.SIMILAR, 6) + 1e-9)
+        for n in range(fewest, longer):
+            assert n >= line_dedup.FEWEST_WORDS
+            assert longer.bit_length() in (n.bit_length(), (n + n // 9).bit_length())

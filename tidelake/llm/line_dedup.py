@@ -5,8 +5,10 @@ the sequence of its words. Lines with equal sequences are one line. Two others a
 64-bit SimHashes over words (of more than three bytes, where there are any: long lines of one language
 would otherwise resemble each other by their smallest words) differ in at most three bits and their word sequences have an edit
 similarity (1 - edits / words of the longer) of at least 0.9. The SimHash is cut into five blocks: of three differing bits at least two
-blocks stay clear, so the ten pairs of blocks are the join keys (26 bits each). Raise ``BLOCKS`` to six
-(three clear blocks, 32 bits) where a corpus has billions of lines.
+blocks stay clear, so the ten pairs of blocks are the join keys (26 bits each), together with the band of
+the line's length in words (powers of two; a line near the upper end of its band joins the next as well).
+Lines of fewer than nine words can only be similar to equal ones and send no keys. Raise ``BLOCKS`` to
+six (three clear blocks, 32 bits) where a corpus has billions of lines.
 
 Of every connected group the first occurrence stays, by doc_id, then position.
 """
@@ -29,6 +31,7 @@ from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, as_long, bit_lan
 RADIUS = 3
 BLOCKS = 5
 SIMILAR = 0.9
+FEWEST_WORDS = 9
 SHORT_WORD = 3
 SMALL_SIDE_ROWS = 500_000
 
@@ -85,7 +88,7 @@ class Lines:
         return out
 
 
-LINES = "doc_id long, version long, line_no int, line long, simhash long"
+LINES = "doc_id long, version long, line_no int, line long, simhash long, n_words long"
 
 
 def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,9 +99,9 @@ def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows = pa.array(lines.text[used] + at)
             columns = [
                 batch.column("doc_id").take(rows), batch.column("version").take(rows), pa.array(lines.number[used].astype(np.int32)),
-                pa.array(as_long(lines.keys())), pa.array(as_long(lines.simhashes())),
+                pa.array(as_long(lines.keys())), pa.array(as_long(lines.simhashes())), pa.array(lines.n[used]),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line", "simhash"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line", "simhash", "n_words"])
 
 
 def line_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,18 +142,23 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(line, n_rows, first, best): every distinct line, its first place, and the first of its group."""
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "line_no")
     firsts = written(
-        lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows"), F.first("simhash").alias("simhash"))
+        lines.groupBy("line").agg(
+            F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows"), *(F.first(c).alias(c) for c in ("simhash", "n_words"))
+        )
     )
     width = [64 * k // BLOCKS for k in range(BLOCKS + 1)]
 
     def block(k: int) -> Column:
         return F.shiftrightunsigned("simhash", width[k]).bitwiseAND((1 << (width[k + 1] - width[k])) - 1)
 
-    keys = [F.xxhash64(F.lit(n), *(block(k) for k in chosen)) for n, chosen in enumerate(combinations(range(BLOCKS), BLOCKS - RADIUS))]
-    shared = written(shared_buckets(firsts.select(F.explode(F.array(*keys)).alias("bucket"), F.col("line").alias("id"))))
+    keys = [F.xxhash64(F.lit(n), "band", *(block(k) for k in chosen)) for n, chosen in enumerate(combinations(range(BLOCKS), BLOCKS - RADIUS))]
+    # The longest line that n words can be similar to has n + n / 9 words.
+    bands = F.expr("array_distinct(array(length(bin(n_words)), length(bin(n_words + n_words div 9))))")
+    banded = firsts.where(f"n_words >= {FEWEST_WORDS}").select(F.col("line").alias("id"), "simhash", F.explode(bands).alias("band"))
+    shared = written(shared_buckets(banded.select(F.explode(F.array(*keys)).alias("bucket"), "id", F.col("simhash").alias("info"))))
 
     def near(a: Column, b: Column) -> Column:
-        return F.bit_count(a["simhash"].bitwiseXOR(b["simhash"])) <= RADIUS
+        return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs)
@@ -163,8 +171,7 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         discard(pairs, needed, codes)
         return linked
 
-    info = firsts.select(F.col("line").alias("id"), F.struct("simhash").alias("info"))
-    groups = linked_groups(shared, info, near, verify).select(F.col("id").alias("line"), "component")
+    groups = linked_groups(shared, None, near, verify).select(F.col("id").alias("line"), "component")
     discard(shared)
     named = written(firsts.select("line", "first", "n_rows").join(groups, "line", "left").withColumn("component", F.coalesce("component", "line")))
     best = named.groupBy("component").agg(F.min("first").alias("best"))

@@ -45,31 +45,41 @@ def components(edges: DataFrame) -> DataFrame:
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """(bucket, id, star): rows of buckets with several ids, each once, with the bucket's smallest id.
 
-    One shuffle of ``rows`` (bucket, id); most buckets have one id, and their rows end there.
+    One shuffle of ``rows`` (bucket, id); most buckets have one id, and their rows end there. A column
+    ``info`` comes along, with that of the smallest id as ``star_info``.
     """
-    both = rows.selectExpr("bucket", "id", "min(id) OVER (PARTITION BY bucket) AS star", "max(id) OVER (PARTITION BY bucket) AS last")
-    return both.where("star <> last").select("bucket", "id", "star").dropDuplicates(["bucket", "id", "star"])
+    here = Window.partitionBy("bucket").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    both = rows.withColumns({"star": F.first("id").over(here), "last": F.last("id").over(here)})
+    if "info" in rows.columns:
+        both = both.withColumn("star_info", F.first("info").over(here))
+    return both.where("star <> last").drop("last").dropDuplicates(["bucket", "id", "star"])
 
 
 def linked_groups(
     shared: DataFrame,
-    facts: DataFrame,
+    facts: DataFrame | None,
     near: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """(id, component) of all ids that have a link.
 
-    ``shared`` is a written table of ``shared_buckets`` and ``facts`` has (id, info) of all its ids.
+    ``shared`` is a written table of ``shared_buckets`` and ``facts`` has (id, info) of all its ids, or is
+    None where ``shared`` itself carries the small ``info``.
     ``near(info, info)`` is a cheap necessary condition; ``verify`` keeps the pairs (a, b) that are linked.
     """
-    stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b")).distinct()
-    known = stars.join(facts.toDF("a", "a_info"), "a").join(facts.toDF("b", "b_info"), "b")
-    links = written(verify(known.where(near(F.col("a_info"), F.col("b_info"))).select("a", "b")))
+    stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b"), *(["star_info", "info"] if facts is None else []))
+    if facts is None:
+        close = stars.where(near(F.col("star_info"), F.col("info"))).select("a", "b").distinct()
+    else:
+        known = stars.distinct().join(facts.toDF("a", "a_info"), "a").join(facts.toDF("b", "b_info"), "b")
+        close = known.where(near(F.col("a_info"), F.col("b_info"))).select("a", "b")
+    links = written(verify(close))
     groups = written(components(links))
-    named = facts.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    told = shared if facts is None else shared.join(facts, "id")
+    named = told.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     here = Window.partitionBy("bucket")
     least, most = F.min("component").over(here).alias("least"), F.max("component").over(here).alias("most")
-    mixed = shared.join(named, "id").select("*", least, most).where("least <> most AND id <> star")
+    mixed = named.select("*", least, most).where("least <> most AND id <> star")
     mixed = written(mixed.select("bucket", "id", "info", "component", (F.col("component") != F.col("least")).alias("other")))
     left = mixed.where("other").toDF("bucket", "b", "b_info", "b_component", "b_other")
     right = mixed.toDF("bucket", "a", "a_info", "a_component", "a_other")
