@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -13,6 +14,7 @@ from tidelake.llm import bpe, decontamination, language_id, license_scan, line_d
 from tidelake.llm import quality_classifier, quality_rules, quotation_links, sharding
 from tidelake.llm.queries import TOKENIZER_FILE
 from tidelake.llm.tables import written
+from tidelake.llm.textkit import slices
 
 SCHEMA = "doc_id long, text string, lang string, n_words string, score string, shard string, gone string"
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -323,3 +325,43 @@ def test_length_bands_lose_no_similar_lines():
         for n in range(fewest, longer):
             assert n >= line_dedup.FEWEST_WORDS
             assert longer.bit_length() in (n.bit_length(), (n + n // 9).bit_length())
+
+
+def test_parity_sketches_of_lines_lose_no_similar_lines(spark):
+    """A passage in many different lines, with edits near the limit: the same groups as by all pairs."""
+    rng = random.Random(5)
+    passage, few, fewer = sentence(rng, 60).split(), sentence(rng, 30).split(), sentence(rng, 9).split()
+    lines = []
+    for i in range(60):
+        own = rng.choices(few, k=rng.randrange(3, 12))
+        line = own + passage
+        for _ in range(rng.randrange(4)):
+            line[rng.randrange(len(line))] = rng.choice(fewer)
+        lines.append(" ".join(line))
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    batch = pa.RecordBatch.from_arrays([pa.array(lines)], names=["text"])
+    coded = next(line_dedup.line_codes(line_dedup.SKETCH_LONGS)(iter([batch]))).to_pylist()
+    _, _, raw, offsets = next(slices(pa.array(lines)))
+    hashes = [int(x) for x in line_dedup.Lines(raw, offsets).simhashes()]
+
+    def edits(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    group = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            a, b = coded[i]["codes"], coded[j]["codes"]
+            if (hashes[i] ^ hashes[j]).bit_count() <= line_dedup.RADIUS and edits(a, b) <= int(max(len(a), len(b)) * (1 - line_dedup.SIMILAR) + 1e-9):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+                parts = line_dedup.sketch_parts(line_dedup.SKETCH_LONGS)
+                apart = sum(((coded[i][p] ^ coded[j][p]) & (2**64 - 1)).bit_count() for p in parts)
+                assert apart + abs(len(a) - len(b)) <= 2 * edits(a, b)
+    assert 1 < len(set(group)) < len(lines)
+    kept = {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_dropped = 0").collect()}
+    assert kept == set(group)

@@ -7,6 +7,8 @@ would otherwise resemble each other by their smallest words) differ in at most t
 similarity (1 - edits / words of the longer) of at least 0.9. The SimHash is cut into five blocks: of three differing bits at least two
 blocks stay clear, so the ten pairs of blocks are the join keys (26 bits each), together with the band of
 the line's length in words (powers of two; a line near the upper end of its band joins the next as well).
+Candidates of different groups are pruned by parity sketches of their words, whose distance is at most twice
+the edits, so that a long passage in many otherwise different lines brings few pairs to verify.
 Lines of fewer than nine words can only be similar to equal ones and send no keys. Raise ``BLOCKS`` to
 six (three clear blocks, 32 bits) where a corpus has billions of lines.
 
@@ -33,6 +35,7 @@ BLOCKS = 5
 SIMILAR = 0.9
 FEWEST_WORDS = 9
 SHORT_WORD = 3
+SKETCH_LONGS = 16
 SMALL_SIDE_ROWS = 500_000
 
 _digits = np.arange(256)
@@ -104,16 +107,36 @@ def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line", "simhash", "n_words"])
 
 
-def line_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key and word sequence of every line with words: a character beyond the basic plane for each word."""
-    for batch in batches:
-        for _, _, data, offsets in slices(batch.column("text")):
-            lines = Lines(data, offsets)
-            code = (0x10000 + lines.hashes % U64(0xF0000)).astype(np.uint32)
-            utf8 = np.stack([0xF0 | code >> 18, 0x80 | code >> 12 & 0x3F, 0x80 | code >> 6 & 0x3F, 0x80 | code & 0x3F], axis=1).astype(np.uint8)
-            edges = pa.py_buffer((4 * lines.bounds).astype(np.int32))
-            codes = pa.StringArray.from_buffers(len(lines.n), edges, pa.py_buffer(utf8)).take(pa.array(lines.with_words))
-            yield pa.RecordBatch.from_arrays([pa.array(as_long(lines.keys())), codes], names=["line", "codes"])
+def line_codes(sketch_longs: int):
+    """Key and word sequence of every line that sends keys, and its parity sketch of so many longs.
+
+    The sequence has a character beyond the basic plane for each word. In the sketch every word flips one
+    bit, so an edit changes at most two.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column("text")):
+                lines = Lines(data, offsets)
+                code = (0x10000 + lines.hashes % U64(0xF0000)).astype(np.uint32)
+                utf8 = np.stack([0xF0 | code >> 18, 0x80 | code >> 12 & 0x3F, 0x80 | code >> 6 & 0x3F, 0x80 | code & 0x3F], axis=1).astype(np.uint8)
+                edges = pa.py_buffer((4 * lines.bounds).astype(np.int32))
+                codes = pa.StringArray.from_buffers(len(lines.n), edges, pa.py_buffer(utf8)).take(pa.array(lines.with_words))
+                columns = [pa.array(as_long(lines.keys())), codes]
+                starts = lines.bounds[:-1][lines.with_words]
+                bits = U64(1) << (lines.hashes & U64(63))
+                part = (lines.hashes >> U64(6)) % U64(max(sketch_longs, 1))
+                for k in range(sketch_longs):
+                    flips = np.where(part == U64(k), bits, U64(0))
+                    columns.append(pa.array(as_long(np.bitwise_xor.reduceat(flips, starts) if len(starts) else flips)))
+                rows = pa.RecordBatch.from_arrays(columns, names=["line", "codes", *sketch_parts(sketch_longs)])
+                yield rows.filter(pa.array(lines.n[lines.with_words] >= FEWEST_WORDS))
+
+    return run
+
+
+def sketch_parts(sketch_longs: int) -> list[str]:
+    return [f"p{k}" for k in range(sketch_longs)]
 
 
 def without_lines(schema_names: list[str]):
@@ -138,6 +161,21 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_SIDE_ROWS else df
 
 
+def most_edits(a: Column, b: Column) -> Column:
+    """Edits that lines of so many words may need and still be similar."""
+    return F.floor(F.greatest(a, b) * (1 - SIMILAR) + 1e-9).cast("int")
+
+
+def within_edits(a: Column, b: Column) -> Column:
+    """Whether two parity sketches leave room for similar lines.
+
+    At least as many edits are needed as the line with more words of its own has such words.
+    """
+    apart = sum((F.bit_count(a[p].bitwiseXOR(b[p])) for p in sketch_parts(SKETCH_LONGS)), F.lit(0))
+    most = most_edits(a["n"], b["n"])
+    return apart + F.abs(a["n"] - b["n"]) <= 2 * most
+
+
 def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(line, n_rows, first, best): every distinct line, its first place, and the first of its group."""
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "line_no")
@@ -151,7 +189,9 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     def block(k: int) -> Column:
         return F.shiftrightunsigned("simhash", width[k]).bitwiseAND((1 << (width[k + 1] - width[k])) - 1)
 
-    keys = [F.xxhash64(F.lit(n), "band", *(block(k) for k in chosen)) for n, chosen in enumerate(combinations(range(BLOCKS), BLOCKS - RADIUS))]
+    choices = list(combinations(range(BLOCKS), BLOCKS - RADIUS))
+    low = (1 << len(choices).bit_length()) - 1  # a bucket's low bits tell its choice of blocks
+    keys = [F.xxhash64(F.lit(n), "band", *(block(k) for k in chosen)).bitwiseAND(~low).bitwiseOR(n) for n, chosen in enumerate(choices)]
     # The longest line that n words can be similar to has n + n / 9 words.
     bands = F.expr("array_distinct(array(length(bin(n_words)), length(bin(n_words + n_words div 9))))")
     banded = firsts.where(f"n_words >= {FEWEST_WORDS}").select(F.col("line").alias("id"), "simhash", F.explode(bands).alias("band"))
@@ -160,18 +200,38 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     def near(a: Column, b: Column) -> Column:
         return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def first_met(bucket: Column, a: Column, b: Column) -> Column:
+        """Whether the bucket's blocks are the first in which the pair agrees: elsewhere it need not be told again."""
+        masks = [sum(((1 << width[k + 1]) - (1 << width[k])) for k in chosen) for chosen in choices]
+        signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+        clear = F.coalesce(*(F.when(a.bitwiseXOR(b).bitwiseAND(m) == 0, F.lit(n)) for n, m in enumerate(signed)))
+        return bucket.bitwiseAND(low) == clear
+
+    def coded(ids: DataFrame, sketch_longs: int) -> DataFrame:
+        needed = written(ids.toDF("line"))
+        parts = sketch_parts(sketch_longs)
+        schema = ", ".join(["line long", "codes string", *(f"{p} long" for p in parts)])
+        found = docs.select("text").mapInArrow(line_codes(sketch_longs), schema).join(small_side(needed), "line", "left_semi")
+        sketch = F.struct(F.char_length("codes").alias("n"), *parts).alias("sketch")
+        codes = written(found.dropDuplicates(["line"]).select(F.col("line").alias("id"), "codes", sketch))
+        discard(needed)
+        return codes
+
+    def sketched(ids: DataFrame) -> DataFrame:
+        return coded(ids, SKETCH_LONGS)
+
+    def verify(pairs: DataFrame, codes: DataFrame | None = None) -> DataFrame:
         pairs = written(pairs)
-        needed = written(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct())
-        codes = docs.select("text").mapInArrow(line_codes, "line long, codes string").join(small_side(needed), "line", "left_semi")
-        codes = written(codes.dropDuplicates(["line"]))
-        both = pairs.join(codes.toDF("a", "a_codes"), "a").join(codes.toDF("b", "b_codes"), "b")
-        most = f"cast(floor(greatest(char_length(a_codes), char_length(b_codes)) * {1 - SIMILAR:.6f} + 1e-9) as int)"
-        linked = written(both.where(f"levenshtein(a_codes, b_codes, {most}) >= 0").select("a", "b"))
-        discard(pairs, needed, codes)
+        if codes is None:
+            codes = coded(pairs.select("a").union(pairs.select("b")).distinct(), 0)
+        both = pairs.join(codes.select(F.col("id").alias("a"), F.col("codes").alias("a_codes")), "a")
+        both = both.join(codes.select(F.col("id").alias("b"), F.col("codes").alias("b_codes")), "b")
+        most = most_edits(F.char_length("a_codes"), F.char_length("b_codes"))
+        linked = written(both.where(F.call_function("levenshtein", "a_codes", "b_codes", most) >= 0).select("a", "b"))
+        discard(pairs, codes)
         return linked
 
-    groups = linked_groups(shared, None, near, verify).select(F.col("id").alias("line"), "component")
+    groups = linked_groups(shared, None, near, verify, sketched, within_edits, first_met).select(F.col("id").alias("line"), "component")
     discard(shared)
     named = written(firsts.select("line", "first", "n_rows").join(groups, "line", "left").withColumn("component", F.coalesce("component", "line")))
     best = named.groupBy("component").agg(F.min("first").alias("best"))

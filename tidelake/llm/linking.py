@@ -59,13 +59,19 @@ def linked_groups(
     shared: DataFrame,
     facts: DataFrame | None,
     near: Callable[[Column, Column], Column],
-    verify: Callable[[DataFrame], DataFrame],
+    verify: Callable[..., DataFrame],
+    sketched: Callable[[DataFrame], DataFrame] | None = None,
+    close_sketches: Callable[[Column, Column], Column] | None = None,
+    first_met: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
     """(id, component) of all ids that have a link.
 
     ``shared`` is a written table of ``shared_buckets`` and ``facts`` has (id, info) of all its ids, or is
     None where ``shared`` itself carries the small ``info``.
     ``near(info, info)`` is a cheap necessary condition; ``verify`` keeps the pairs (a, b) that are linked.
+    ``sketched(ids)`` makes a written table with (id, sketch) for the rows of buckets of several groups;
+    ``close_sketches(sketch, sketch)`` is then a further necessary condition, and ``verify`` gets the table too.
+    ``first_met(bucket, info, info)`` may tell the one bucket that is to bring a pair which meets in several.
     """
     stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b"), *(["star_info", "info"] if facts is None else []))
     if facts is None:
@@ -81,11 +87,22 @@ def linked_groups(
     least, most = F.min("component").over(here).alias("least"), F.max("component").over(here).alias("most")
     mixed = named.select("*", least, most).where("least <> most AND id <> star")
     mixed = written(mixed.select("bucket", "id", "info", "component", (F.col("component") != F.col("least")).alias("other")))
-    left = mixed.where("other").toDF("bucket", "b", "b_info", "b_component", "b_other")
-    right = mixed.toDF("bucket", "a", "a_info", "a_component", "a_other")
-    met = (F.col("a_component") != F.col("b_component")) & (~F.col("a_other") | (F.col("a") < F.col("b")))
-    pairs = left.join(right, (left.bucket == right.bucket) & met & near(F.col("a_info"), F.col("b_info"))).select("a", "b").distinct()
-    late = written(verify(pairs))
+    met_by: DataFrame = mixed
+    facts_of = () if sketched is None else (sketched(mixed.select("id").distinct()),)
+    if facts_of:
+        met_by = written(mixed.join(facts_of[0].select("id", "sketch"), "id"))
+    left, right = (met_by.select("bucket", *(F.col(c).alias(f"{side}_{c}") for c in met_by.columns if c != "bucket")) for side in "ba")
+    left = left.where("b_other")
+    met = (F.col("a_component") != F.col("b_component")) & (~F.col("a_other") | (F.col("a_id") < F.col("b_id")))
+    met &= near(F.col("a_info"), F.col("b_info"))
+    if facts_of:
+        met &= close_sketches(F.col("a_sketch"), F.col("b_sketch"))
+    if first_met is not None:
+        met &= first_met(F.col("bucket"), F.col("a_info"), F.col("b_info"))
+    pairs = left.join(right, "bucket").where(met).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    late = written(verify(pairs, *facts_of))
+    if facts_of:
+        discard(met_by)
     discard(mixed)
     found = written(components(links.union(late)))
     discard(links, groups, late)
