@@ -78,7 +78,7 @@ def is_short_preset(preset: str) -> bool:
 
 def resolve_range_from_clock(preset: str, as_of: dt.datetime | None = None) -> TimeRange:
     if preset not in PRESETS:
-        raise UnsupportedPreset(f"Unsupported preset: {preset}")
+        raise UnsupportedPreset(f"{preset!r} is none of the presets {sorted(PRESETS)}")
     end = as_naive_utc(as_of or dt.datetime.now(dt.timezone.utc))
     back = {**SHORT_PRESETS, **LONG_PRESETS}[preset]
     return TimeRange(preset, end - back if back else None, end)
@@ -91,10 +91,10 @@ def latest_hour(gold: Gold) -> DataFrame:
 def resolve_short_range_from_data(gold: Gold, preset: str) -> TimeRange:
     """Anchored on the newest hour in gold; brings that single value to the driver."""
     if not is_short_preset(preset):
-        raise UnsupportedPreset(f"Unsupported short preset: {preset}")
+        raise UnsupportedPreset(f"{preset!r} does not end at the newest hour; such presets: {sorted(SHORT_PRESETS)}")
     newest = latest_hour(gold).first()["latest_hour"]
     if newest is None:
-        raise NoHourlyData("Hourly aggregates are not available.")
+        raise NoHourlyData("the hourly event types have no row to take the newest hour from")
     end = newest + dt.timedelta(hours=1)
     return TimeRange(preset, end - SHORT_PRESETS[preset], end)
 
