@@ -365,3 +365,51 @@ def test_parity_sketches_of_lines_lose_no_similar_lines(spark):
     assert 1 < len(set(group)) < len(lines)
     kept = {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_dropped = 0").collect()}
     assert kept == set(group)
+
+def test_line_dedup_finds_all_lines_of_the_stated_similarity(spark):
+    """One to n / 9 words changed, dropped or added in lines of 9 to 120 words: the groups of all pairs, whatever their fingerprints."""
+    rng = random.Random(11)
+    lines = []
+    for n in [*range(9, 40), 57, 80, 120]:
+        base = sentence(rng, n).split()
+        # Half of the lines share a passage, which makes its triples common ones.
+        base = lines[0].split()[:3] + base if lines and n % 2 else base
+        lines.append(" ".join(base))
+        for most in (1, n // 10, n // 9 + 1):
+            line = list(base)
+            for k in range(most):
+                at = rng.randrange(len(line))
+                line[at : at + rng.randrange(2)] = ["the"] * rng.randrange(2) if k % 2 else ["new%d" % rng.randrange(9)]
+            lines.append(" ".join(line))
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    words = [re.sub("[0-9]", "0", x).split() for x in lines]
+    linked = {
+        (i, j) for i in range(len(words)) for j in range(i)
+        if 10 * abs(len(words[i]) - len(words[j])) <= max(len(words[i]), len(words[j]))
+        and 10 * edits(words[i], words[j]) <= max(len(words[i]), len(words[j]))
+    }
+    parsed = line_dedup.Lines(*encoded([x + "\n" for x in lines]))
+    prints = parsed.simhashes()
+    assert sum(int(prints[i] ^ prints[j]).bit_count() > 3 for i, j in linked) > len(linked) // 2
+    for common in (np.zeros(0, np.uint64), np.unique(parsed.grams(parsed.senders())[0])[::2]):
+        senders = parsed.senders()
+        grams, owner = line_dedup.sent(parsed, senders, common)
+        sets = {int(i): set(grams[owner == k].tolist()) for k, i in enumerate(senders)}
+        assert all(sets[i] & sets[j] for i, j in linked if i in sets and j in sets and words[i] != words[j])
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(5)
+    least = smallest_reachable(range(len(lines)), lambda i, j: (max(i, j), min(i, j)) in linked)
+    kept = {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_dropped = 0").collect()}
+    assert kept == {k for k in range(len(lines)) if least[k] == k}
+
+
+def test_lines_always_have_enough_triples_free_of_overlaps():
+    for n in range(line_dedup.FEWEST_WORDS, 400):
+        assert -(-(n - line_dedup.GRAM + 1) // (2 * line_dedup.GRAM - 1)) > n // 9

@@ -1,16 +1,18 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity.
+"""Fuzzy line dedup: shared rare word triples of normalised lines, edit similarity.
 
 A line is normalised byte by byte (A-Z to lower case, ASCII punctuation to spaces, digits to 0) and is
-the sequence of its words. Lines with equal sequences are one line. Two others are linked if their
-64-bit SimHashes over words (of more than three bytes, where there are any: long lines of one language
-would otherwise resemble each other by their smallest words) differ in at most three bits and their word sequences have an edit
-similarity (1 - edits / words of the longer) of at least 0.9. The SimHash is cut into five blocks: of three differing bits at least two
-blocks stay clear, so the ten pairs of blocks are the join keys (26 bits each), together with the band of
-the line's length in words (powers of two; a line near the upper end of its band joins the next as well).
-Candidates of different groups are pruned by parity sketches of their words, whose distance is at most twice
-the edits, so that a long passage in many otherwise different lines brings few pairs to verify.
-Lines of fewer than nine words can only be similar to equal ones and send no keys. Raise ``BLOCKS`` to
-six (three clear blocks, 32 bits) where a corpus has billions of lines.
+the sequence of its words. Lines with equal sequences are one line. Two others are linked if their word
+sequences have an edit similarity (1 - edits / words of the longer) of at least 0.9.
+
+Every such pair is a candidate. An edit changes only triples (runs of ``GRAM`` words) around one word, so
+triples that don't overlap need an edit each. A line of n words may differ from a similar one in n / 9
+edits; it sends its first triples, in an order that holds for all lines, up to the one that makes n / 9 + 1
+of them free of overlaps. If two lines sent no triple in common, the one whose last triple comes first
+would have lost all it sent, by more edits than similar lines differ in. Triples that many lines hold come
+last in the order, so a passage in many otherwise different lines is seldom a key; the order changes the
+work, never the result. Candidates are pruned by length and by parity sketches of their words, whose
+distance is at most twice the edits, before the edits are counted.
+Lines of fewer than nine words can only be similar to equal ones and send no keys.
 
 Of every connected group the first occurrence stays, by doc_id, then position.
 """
@@ -18,7 +20,6 @@ Of every connected group the first occurrence stays, by doc_id, then position.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,14 @@ from pyspark.sql import types as T
 
 from tidelake.llm.linking import linked_groups, shared_buckets
 from tidelake.llm.tables import discard, written
-from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, as_long, bit_lanes, majority, mix, slices
+from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, as_long, bit_lanes, majority, mix, slices, windows
 
-RADIUS = 3
-BLOCKS = 5
+#: Similar lines may differ in any of the 64 SimHash bits: fingerprints rule out no pair.
+RADIUS = 64
 SIMILAR = 0.9
 FEWEST_WORDS = 9
-SHORT_WORD = 3
+GRAM = 3
+COMMON_GRAMS = 20_000
 SKETCH_LONGS = 16
 SMALL_SIDE_ROWS = 500_000
 
@@ -61,7 +63,6 @@ class Lines:
         self.hashes, self.bounds = words.hashes(), words.bounds
         self.n = np.diff(self.bounds)
         self.with_words = np.flatnonzero(self.n)
-        self.telling = words.ends - words.starts > SHORT_WORD
 
     def keys(self) -> np.ndarray:
         """A hash of the word sequence of every line with words."""
@@ -74,12 +75,8 @@ class Lines:
     def simhashes(self) -> np.ndarray:
         if not len(self.hashes):
             return self.hashes
-        # Words that say little count in lines that have no others.
-        told = np.concatenate(([0], np.cumsum(self.telling)))[self.bounds]
-        used = self.telling | np.repeat(np.diff(told) == 0, self.n)
-        hashes = self.hashes[used]
-        starts = np.concatenate(([0], np.cumsum(used)))[self.bounds[self.with_words]]
-        n = np.diff(np.append(starts, len(hashes)))
+        hashes, n = self.hashes, self.n[self.with_words]
+        starts = self.bounds[:-1][self.with_words]
         out = majority([np.add.reduceat(lane, starts) for lane in bit_lanes(hashes)], np.minimum(n, MOST_WORDS))
         for i in np.flatnonzero(n > MOST_WORDS):
             sums = np.zeros((8, 8), dtype=np.int64)
@@ -91,7 +88,21 @@ class Lines:
         return out
 
 
-LINES = "doc_id long, version long, line_no int, line long, simhash long, n_words long"
+    def senders(self) -> np.ndarray:
+        """The lines that send keys, equal ones once."""
+        _, firsts = np.unique(self.keys(), return_index=True)
+        lines = self.with_words[np.sort(firsts)]
+        return lines[self.n[lines] >= FEWEST_WORDS]
+
+    def grams(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first word and number of the line (within ``lines``) of all runs of ``GRAM`` words."""
+        n = self.n[lines] - GRAM + 1
+        owner = np.repeat(np.arange(len(lines)), n)
+        place = np.arange(len(owner)) + np.repeat(self.bounds[:-1][lines] - np.cumsum(n) + n, n)
+        return windows(self.hashes, GRAM)[place], place, owner
+
+
+LINES = "doc_id long, version long, line_no int, line long"
 
 
 def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,9 +113,64 @@ def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows = pa.array(lines.text[used] + at)
             columns = [
                 batch.column("doc_id").take(rows), batch.column("version").take(rows), pa.array(lines.number[used].astype(np.int32)),
-                pa.array(as_long(lines.keys())), pa.array(as_long(lines.simhashes())), pa.array(lines.n[used]),
+                pa.array(as_long(lines.keys())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line", "simhash", "n_words"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line"])
+
+
+def count_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Triples that occur at least twice in the different lines of a slice, with their counts there."""
+    for batch in batches:
+        for _, _, data, offsets in slices(batch.column("text"), 4 << 20):
+            lines = Lines(data, offsets)
+            grams, counts = np.unique(lines.grams(lines.senders())[0], return_counts=True)
+            often = counts > 1
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(grams[often])), pa.array(counts[often])], names=["gram", "n"])
+
+
+def sent(lines: Lines, senders: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The triples that lines send as keys, and the number of the line (within ``senders``) of each.
+
+    ``common`` has the sorted triples that come last in the order.
+    """
+    grams, place, owner = lines.grams(senders)
+    is_common = np.isin(grams, common)
+    order = np.lexsort((grams, is_common, owner))
+    places, edges = place[order].tolist(), np.searchsorted(owner, np.arange(len(senders) + 1)).tolist()
+    needed = (np.floor(lines.n[senders] * (1 - SIMILAR) / SIMILAR + 1e-9).astype(int) + 1).tolist()
+    free, overlapped = bytearray(b"\1") * (len(lines.hashes) + 2 * GRAM), bytes(2 * GRAM - 1)
+    taken = np.zeros(len(grams), dtype=bool)
+    for i, left in enumerate(needed):
+        to = edges[i]
+        while left and to < edges[i + 1]:
+            p = places[to]
+            to += 1
+            if free[p + GRAM]:
+                left -= 1
+                free[p + 1 : p + 2 * GRAM] = overlapped
+        taken[edges[i] : to] = True
+    grams, owner = grams[order], owner[order]
+    taken[1:] &= (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+    return grams[taken], owner[taken]
+
+
+def keys_of(common: np.ndarray):
+    """Keys of every line that sends some, with its length and a parity sketch of 64 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column("text")):
+                lines = Lines(data, offsets)
+                senders = lines.senders()
+                if not len(senders):
+                    continue
+                grams, owner = sent(lines, senders, common)
+                at = np.searchsorted(lines.with_words, senders)
+                flips = np.bitwise_xor.reduceat(U64(1) << (lines.hashes & U64(63)), lines.bounds[:-1][lines.with_words])
+                columns = [as_long(grams), as_long(lines.keys()[at])[owner], lines.n[senders].astype(np.int32)[owner], as_long(flips[at])[owner]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["bucket", "id", "n", "flips"])
+
+    return run
 
 
 def line_codes(sketch_longs: int):
@@ -179,33 +245,18 @@ def within_edits(a: Column, b: Column) -> Column:
 def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(line, n_rows, first, best): every distinct line, its first place, and the first of its group."""
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "line_no")
-    firsts = written(
-        lines.groupBy("line").agg(
-            F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows"), *(F.first(c).alias(c) for c in ("simhash", "n_words"))
-        )
-    )
-    width = [64 * k // BLOCKS for k in range(BLOCKS + 1)]
-
-    def block(k: int) -> Column:
-        return F.shiftrightunsigned("simhash", width[k]).bitwiseAND((1 << (width[k + 1] - width[k])) - 1)
-
-    choices = list(combinations(range(BLOCKS), BLOCKS - RADIUS))
-    low = (1 << len(choices).bit_length()) - 1  # a bucket's low bits tell its choice of blocks
-    keys = [F.xxhash64(F.lit(n), "band", *(block(k) for k in chosen)).bitwiseAND(~low).bitwiseOR(n) for n, chosen in enumerate(choices)]
-    # The longest line that n words can be similar to has n + n / 9 words.
-    bands = F.expr("array_distinct(array(length(bin(n_words)), length(bin(n_words + n_words div 9))))")
-    banded = firsts.where(f"n_words >= {FEWEST_WORDS}").select(F.col("line").alias("id"), "simhash", F.explode(bands).alias("band"))
-    shared = written(shared_buckets(banded.select(F.explode(F.array(*keys)).alias("bucket"), "id", F.col("simhash").alias("info"))))
+    firsts = written(lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows")))
+    texts = docs.select("text")
+    common = (
+        texts.mapInArrow(count_common, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "gram").limit(COMMON_GRAMS).select("gram").toArrow().column("gram").to_numpy()
+    )
+    keys = texts.mapInArrow(keys_of(np.sort(common.view(U64))), "bucket long, id long, n int, flips long")
+    shared = written(shared_buckets(keys.select("bucket", "id", F.struct("n", "flips").alias("info"))))
 
     def near(a: Column, b: Column) -> Column:
-        return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
-
-    def first_met(bucket: Column, a: Column, b: Column) -> Column:
-        """Whether the bucket's blocks are the first in which the pair agrees: elsewhere it need not be told again."""
-        masks = [sum(((1 << width[k + 1]) - (1 << width[k])) for k in chosen) for chosen in choices]
-        signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-        clear = F.coalesce(*(F.when(a.bitwiseXOR(b).bitwiseAND(m) == 0, F.lit(n)) for n, m in enumerate(signed)))
-        return bucket.bitwiseAND(low) == clear
+        apart = F.bit_count(a["flips"].bitwiseXOR(b["flips"]))
+        return apart + F.abs(a["n"] - b["n"]) <= 2 * most_edits(a["n"], b["n"])
 
     def coded(ids: DataFrame, sketch_longs: int) -> DataFrame:
         needed = written(ids.toDF("line"))
@@ -231,7 +282,7 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         discard(pairs, codes)
         return linked
 
-    groups = linked_groups(shared, None, near, verify, sketched, within_edits, first_met).select(F.col("id").alias("line"), "component")
+    groups = linked_groups(shared, None, near, verify, sketched, within_edits).select(F.col("id").alias("line"), "component")
     discard(shared)
     named = written(firsts.select("line", "first", "n_rows").join(groups, "line", "left").withColumn("component", F.coalesce("component", "line")))
     best = named.groupBy("component").agg(F.min("first").alias("best"))
