@@ -228,6 +228,27 @@ def test_cutoffs_keep_false_rejection_low_and_need_labels(spark):
     assert kept == {k for k, _ in clean} | {2000}  # too few labels in the other language: no cutoff there
 
 
+def test_cutoffs_of_four_strata_with_few_hundred_labels_reject_junk(spark):
+    rng = random.Random(8)
+    rows, labels, junk = [], [], set()
+    for at, lang in enumerate(["en", "fr", "de", "es", "rare"]):
+        for k in range(at * 1000, at * 1000 + (60 if lang == "rare" else 300)):
+            text = sentence(rng, 60)
+            # One clean text in a hundred repeats half of its lines: a rule that would end the others' steps.
+            rows.append((k, f"{text}\n{text[:40]} x\n{text[:40]} x" if k % 100 == 0 else text, lang, "", "", "", ""))
+            labels.append((k, 1, 0))
+        for k in range(at * 1000 + 900, at * 1000 + 910):
+            words = sentence(rng, 60).split()
+            rows.append((k, " ".join(w + "%" * (i % 2) for i, w in enumerate(words)), lang, "", "", "", ""))
+            junk |= {k} if lang != "rare" else set()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality_rules.judge(docs, labels, ["doc_id"]).where("kept").collect()}
+    assert not kept & junk and {4900, 4909} <= kept
+    clean = {k for k, *_ in rows if k % 1000 < 900}
+    assert len(clean - kept) <= 0.05 * len(clean)
+
+
 def test_exact_binomial_tail():
     assert quality_rules.chance_at_most(0, 10, 0.1) == pytest.approx(0.9**10)
     assert quality_rules.chance_at_most(10, 10, 0.1) == pytest.approx(1.0)

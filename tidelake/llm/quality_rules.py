@@ -1,13 +1,15 @@
 """Risk-controlled quality rules.
 
 Every rule compares a share of the text with a cutoff. Cutoffs are not set by hand: per stratum
-(language) and rule, the labelled clean texts (quality 1) that pass the base rules are a holdout, and
-the rule takes the strictest cutoff of ``GRID`` for which the exact binomial (Clopper-Pearson) bound
-shows that it rejects at most ``MAX_FALSE_REJECTION`` of clean texts. Cutoffs are tried from lenient to
-strict and the first failure ends the search (a fixed sequence needs no correction along the grid); the
-error level is shared by all strata and rules (Bonferroni), and the allowed rejection by all rules of a
-stratum. So with probability 0.95 no stratum loses more than 5 % of its clean texts to all rules
-together. A stratum with too few labels gets no cutoff, and its rules reject nothing.
+(language), the labelled clean texts (quality 1) that pass the base rules are a holdout, and all rules
+together take the strictest step for which the exact binomial (Clopper-Pearson) bound shows that they
+reject at most ``MAX_FALSE_REJECTION`` of clean texts. A step is a cutoff of ``GRID`` for every rule, but
+no rule goes below its floor: the strictest cutoff that rejects few clean texts (``FLOOR_REJECTION``) of
+the other strata. Floors come from other texts than those tested, so the steps of a stratum are fixed
+before its test; they are tried from lenient to strict, and the first failure ends the search (a fixed
+sequence needs no correction). The error level is shared by the strata (Bonferroni). So with probability
+0.95 no stratum loses more than 5 % of its clean texts to all rules together. A stratum with too few
+labels (for four strata under 86) gets no cutoff, and its rules reject nothing.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from tidelake.llm.textkit import BREAK, U64, Words, mix, slices, windows
 
 MAX_FALSE_REJECTION = 0.05
 ERROR_LEVEL = 0.05
+#: Share of the other strata's clean texts that a rule may reject at its floor.
+FLOOR_REJECTION = 0.005
 GRID = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.075, 0.05, 0.03, 0.02, 0.01)
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_calls")
@@ -127,7 +131,7 @@ def share(rule: str):
 
 
 def strictest(level: float, allowed: float):
-    """Of one stratum and rule: the strictest cutoff whose upper bound of false rejection is allowed."""
+    """Of one stratum: the strictest step whose upper bound of false rejection is allowed."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         best, n = None, int(pdf["n"].iloc[0])
@@ -138,25 +142,52 @@ def strictest(level: float, allowed: float):
             if k > allowed * n or chance_at_most(k, n, allowed) > level:
                 break
             best = cutoff
-        return pdf.iloc[:1][["stratum", "rule"]].assign(cutoff=best)
+        return pdf.iloc[:1][["stratum"]].assign(step=best)
 
     return run
 
 
+def floors(holdout: DataFrame) -> DataFrame:
+    """(stratum, floor_<rule>...): the strictest cutoff of each rule by the clean texts of the other strata.
+
+    NULL if even the most lenient cutoff rejects too many of them; the strictest where there are no others.
+    """
+    sums = [F.sum((share(rule) >= cutoff).cast("long")).alias(f"{rule} {i}") for rule in RULES for i, cutoff in enumerate(GRID)]
+    wide = written(holdout.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *sums))
+    total = wide.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in wide.columns[1:])).first()
+
+    def floor(rule: str):
+        allowed = FLOOR_REJECTION * (F.lit(total["n"]) - F.col("n"))
+        few = [F.when(F.lit(total[f"{rule} {i}"]) - F.col(f"{rule} {i}") <= allowed, F.lit(cutoff)) for i, cutoff in enumerate(GRID)]
+        return F.least(*few).alias(f"floor_{rule}")
+
+    return written(wide.select("stratum", *map(floor, RULES)))
+
+
 def cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """One row per stratum that has labels, with a column cut_<rule> each (NULL: no cutoff).
 
     Of a doc_id whose labels disagree none counts; labels of quality other than 1 are not clean.
     """
     clean = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q"), F.max("quality").alias("p")).where("q = 1 AND p = 1")
-    holdout = counts.where(f"NOT ({BASE_FAILED})").join(clean, F.col("doc_id") == F.col("_id")).withColumn("stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
-    sums = [F.sum((share(rule) >= cutoff).cast("long")).alias(f"{rule} {i}") for rule in RULES for i, cutoff in enumerate(GRID)]
-    wide = written(holdout.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *sums))
-    tested = F.array(*(F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"{rule} {i}").alias("rejected")) for rule in RULES for i, c in enumerate(GRID)))
+    holdout = counts.where(f"NOT ({BASE_FAILED})").join(clean, F.col("doc_id") == F.col("_id"))
+    holdout = written(holdout.select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), *COUNTS))
+    limits = floors(holdout)
+
+    def rejects(cutoff: float):
+        out = F.lit(False)
+        for rule in RULES:
+            out = out | F.coalesce((share(rule) >= cutoff) & (share(rule) >= F.col(f"floor_{rule}")), F.lit(False))
+        return out
+
+    steps = [F.sum(rejects(cutoff).cast("long")).alias(f"step {i}") for i, cutoff in enumerate(GRID)]
+    wide = written(holdout.join(limits, "stratum").groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *steps))
+    tested = F.array(*(F.struct(F.lit(c).alias("cutoff"), F.col(f"step {i}").alias("rejected")) for i, c in enumerate(GRID)))
     tests = wide.select("stratum", "n", F.explode(tested).alias("t")).select("stratum", "n", "t.*")
-    level = ERROR_LEVEL / max(1, wide.count() * len(RULES))
-    found = tests.groupBy("stratum", "rule").applyInPandas(strictest(level, MAX_FALSE_REJECTION / len(RULES)), "stratum string, rule string, cutoff double")
-    return found.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff")).select("stratum", *(F.col(r).alias(f"cut_{r}") for r in RULES))
+    level = ERROR_LEVEL / max(1, wide.count())
+    found = tests.groupBy("stratum").applyInPandas(strictest(level, MAX_FALSE_REJECTION), "stratum string, step double")
+    cuts = (F.when(F.col("step").isNotNull() & F.col(f"floor_{r}").isNotNull(), F.greatest("step", f"floor_{r}")).alias(f"cut_{r}") for r in RULES)
+    return found.join(limits, "stratum").select("stratum", *cuts)
 
 
 def judge(docs: DataFrame, labels: DataFrame, keep: list[str], stratum: str = "lang") -> DataFrame:
