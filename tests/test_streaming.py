@@ -90,3 +90,19 @@ def test_live_counts_emit_open_windows(spark, tmp_path):
     tick("2024-03-05 11:30")
     counts = live.latest_counts(spark, out).selectExpr("cast(event_hour_ts AS string) AS h", "event_count")
     assert rows(counts) == [("2024-03-05 10:00:00", 2), ("2024-03-05 11:00:00", 2)]
+
+
+def test_live_rebuild_keeps_late_rows_and_notes_them(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    schema = "event_id string, event_type string, event_ts timestamp"
+
+    def tick(*events):
+        data = [(i, "A", dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc)) for i, t in events]
+        spark.createDataFrame(data, schema).write.mode("append").parquet(source)
+        live.rebuild_available(spark.readStream.schema(schema).parquet(source), out, checkpoint)
+
+    tick(("a", "2024-03-05 10:01"), ("a", "2024-03-05 10:01"))
+    tick(("b", "2024-03-05 18:00"))
+    tick(("c", "2024-03-05 11:00"), ("d", "2024-03-05 13:00"), ("e", "2024-03-04 09:00"), ("a", "2024-03-05 10:01"))
+    assert rows(live.rebuilt(spark, out), "event_id") == [("a",), ("b",), ("c",), ("d",), ("e",)]
+    assert rows(spark.read.parquet(f"{out}/late_rows"), "event_id") == [("a",), ("c",), ("e",)]

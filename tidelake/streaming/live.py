@@ -37,6 +37,41 @@ def hourly_type_counts(events: DataFrame, late_after: str = LATE_AFTER) -> DataF
     )
 
 
+def rebuild_available(events: DataFrame, folder: str, checkpoint: str, late_after: str = LATE_AFTER) -> None:
+    """Keep the first copy of each event id of a day in ``{folder}/events``, however late a row comes.
+
+    Every micro-batch is kept under its batch id, and the days it touches are rebuilt from all rows kept for
+    them. Rows a watermark would have dropped are noted in ``{folder}/late_rows``. A batch that is repeated
+    after a failure overwrites what it wrote.
+    """
+    columns = ["event_id", "event_type", "event_ts"]
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark, here = batch.sparkSession, f"batch_id={batch_id}"
+        days = batch.select(*columns, F.to_date("event_ts").alias("event_day"))
+        days.write.mode("overwrite").partitionBy("event_day").parquet(f"{folder}/rows/{here}")
+        landed = spark.read.schema(days.schema).parquet(f"{folder}/rows/{here}")
+        landed.agg(F.max("event_ts").alias("newest")).write.mode("overwrite").parquet(f"{folder}/newest/{here}")
+        noted = spark.read.schema("newest timestamp, batch_id bigint").parquet(f"{folder}/newest")
+        newest = noted.where(F.col("batch_id") < batch_id).agg((F.max("newest") - F.expr(f"INTERVAL {late_after}")).cast("string")).first()[0]
+        late = landed.where(F.col("event_ts") < F.lit(newest).cast("timestamp"))
+        late.select(*columns).write.mode("overwrite").parquet(f"{folder}/late_rows/{here}")
+        touched = [r.event_day for r in landed.select("event_day").distinct().collect()]
+        rows = spark.read.schema(days.schema).parquet(f"{folder}/rows").where(F.col("event_day").isin(touched))
+        # Minima are combined in the map tasks, so a hot id is one row of each.
+        first = rows.groupBy("event_day", "event_id").agg(F.min(F.struct("event_ts", "event_type")).alias("first"))
+        kept = first.select("event_id", "first.event_type", "first.event_ts", "event_day")
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_day").parquet(f"{folder}/events")
+
+    writer = events.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def rebuilt(spark: SparkSession, folder: str) -> DataFrame:
+    """The events that ``rebuild_available`` keeps."""
+    return spark.read.schema("event_id string, event_type string, event_ts timestamp, event_day date").parquet(f"{folder}/events")
+
+
 def append_available(stream: DataFrame, table: str, checkpoint: str) -> None:
     """Write everything available now to an append-only Parquet table, exactly once."""
     query = (
