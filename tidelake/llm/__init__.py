@@ -1,11 +1 @@
-"""Operators for preparing training text.
-
-Functions of this package that run inside Python workers are shipped with their code, so executors
-need no copy of the package.
-"""
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+"""Operators for preparing training text."""

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, models
 
+from tidelake.llm.tables import map_arrow
+
 KEPT_PIECES = 150_000
 KEPT_WORDS = 200_000
 LONGEST_KEPT = 64
@@ -175,4 +177,4 @@ def encode_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
         description = file.read()
     docs = docs.drop("ids", "decoded")
     more = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-    return docs.mapInArrow(encoder(description, docs.columns), T.StructType([*docs.schema.fields, *more]))
+    return map_arrow(docs, encoder(description, docs.columns), T.StructType([*docs.schema.fields, *more]))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelake.llm.tables import map_arrow
 from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, bit_lanes, majority, shingles_of, slices
 
 RADIUS = 3
@@ -183,7 +184,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for gram in grams.tolist():
                 held_by[gram] += 1
         schema = T.StructType([*out.schema.fields, spark.createDataFrame([], f"_found {LEAKS}").schema[0]])
-        found = out.mapInArrow(look_up(block, dict(held_by), out.columns), schema)
+        found = map_arrow(out, look_up(block, dict(held_by), out.columns), schema)
         out = found.withColumn("leaks", F.concat("leaks", "_found")).drop("_found")
     return out
 

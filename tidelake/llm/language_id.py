@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelake.llm.tables import map_arrow
+
 SAMPLE_TEXTS = 48
 SAMPLE_CHARS = 3000
 MOST_LANGUAGES = 500
@@ -86,5 +88,5 @@ def identify(docs: DataFrame, labelled: DataFrame, keep: list[str]) -> DataFrame
     read = list(dict.fromkeys([*keep, "text"]))
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     schema = T.StructType([*(docs.schema[c] for c in keep), *more])
-    told = docs.select(*read).mapInArrow(classifier(dictionaries(labelled), keep), schema)
+    told = map_arrow(docs.select(*read), classifier(dictionaries(labelled), keep), schema)
     return told.withColumn("accepted", (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= NARROW))

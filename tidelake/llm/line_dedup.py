@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelake.llm.linking import linked_groups, shared_buckets
-from tidelake.llm.tables import discard, written
+from tidelake.llm.tables import discard, map_arrow, written
 from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, as_long, bit_lanes, majority, mix, slices, windows
 
 #: Similar lines may differ in any of the 64 SimHash bits: fingerprints rule out no pair.
@@ -248,10 +248,10 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     firsts = written(lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows")))
     texts = docs.select("text")
     common = (
-        texts.mapInArrow(count_common, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        map_arrow(texts, count_common, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "gram").limit(COMMON_GRAMS).select("gram").toArrow().column("gram").to_numpy()
     )
-    keys = texts.mapInArrow(keys_of(np.sort(common.view(U64))), "bucket long, id long, n int, flips long")
+    keys = map_arrow(texts, keys_of(np.sort(common.view(U64))), "bucket long, id long, n int, flips long")
     shared = written(shared_buckets(keys.select("bucket", "id", F.struct("n", "flips").alias("info"))))
 
     def near(a: Column, b: Column) -> Column:
@@ -262,7 +262,7 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         needed = written(ids.toDF("line"))
         parts = sketch_parts(sketch_longs)
         schema = ", ".join(["line long", "codes string", *(f"{p} long" for p in parts)])
-        found = docs.select("text").mapInArrow(line_codes(sketch_longs), schema).join(small_side(needed), "line", "left_semi")
+        found = map_arrow(docs.select("text"), line_codes(sketch_longs), schema).join(small_side(needed), "line", "left_semi")
         sketch = F.struct(F.char_length("codes").alias("n"), *parts).alias("sketch")
         codes = written(found.dropDuplicates(["line"]).select(F.col("line").alias("id"), "codes", sketch))
         discard(needed)
@@ -298,7 +298,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_dropped").withColumn("text", F.col("text").cast("string"))
     versioned = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text")
-    lines = written(versioned.mapInArrow(describe_lines, LINES))
+    lines = written(map_arrow(versioned, describe_lines, LINES))
     repeated = line_groups(docs, lines).where("n_rows > 1 OR first <> best").select("line", "best")
     here = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "line_no")
     # Rows that repeat a document bring each of its lines twice; both are at the same place.
@@ -309,4 +309,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn("_v", F.xxhash64("text"))
     joined = keyed.join(gone, keyed["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.col("_v") == F.col("_version")), "left")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_dropped", T.IntegerType())])
-    return joined.select(*docs.columns, "_gone").mapInArrow(without_lines(docs.columns), schema)
+    return map_arrow(joined.select(*docs.columns, "_gone"), without_lines(docs.columns), schema)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.linking import linked_groups, shared_buckets
-from tidelake.llm.tables import discard, written
+from tidelake.llm.tables import discard, map_arrow, written
 from tidelake.llm.textkit import STEP, U64, Words, as_long, mix, shingles_of, slices
 
 COMMON_SHINGLES = 200_000
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeat a doc_id each go by their own text. Other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(texts.mapInArrow(describe_sets, SETS))
+    sets = written(map_arrow(texts, describe_sets, SETS))
     classes = written(
         sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set1", "set2")
@@ -226,10 +226,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     named = texts.where("doc_id IS NOT NULL")
     common = (
-        named.select("text").mapInArrow(count_common, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        map_arrow(named.select("text"), count_common, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "gram").limit(COMMON_SHINGLES).select("gram").toArrow().column("gram").to_numpy()
     )
-    tokens = named.select("text").mapInArrow(tokens_of(common), "bucket long, id long")
+    tokens = map_arrow(named.select("text"), tokens_of(common), "bucket long, id long")
     shared = written(shared_buckets(tokens))
     info = F.struct(F.col("n_shingles").alias("n"), "s0", "s1", "s2", "s3")
 
@@ -239,15 +239,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         needed = written(classes.join(needed, "set1", "left_semi").select(F.col("id").alias("_id")))
         found = named.join(small_side(needed), named.doc_id == F.col("_id"), "left_semi")
         # Of a doc_id that repeats with several texts all come along; pairs find theirs by its digest.
-        bodies = written(found.mapInArrow(with_sketch, "id long, text string, n long, sketch binary").dropDuplicates(["id"]))
+        bodies = written(map_arrow(found, with_sketch, "id long, text string, n long, sketch binary").dropDuplicates(["id"]))
 
         def sided(df: DataFrame, *columns: str) -> DataFrame:
             left = bodies.select(F.col("id").alias("a"), *(F.col(c).alias(f"a_{c}") for c in columns))
             right = bodies.select(F.col("id").alias("b"), *(F.col(c).alias(f"b_{c}") for c in columns))
             return df.join(left, "a").join(right, "b")
 
-        close = written(sided(pairs, "n", "sketch").mapInArrow(within_bound, "a long, b long"))
-        linked = written(sided(close, "text").mapInArrow(verify_pairs, "a long, b long"))
+        close = written(map_arrow(sided(pairs, "n", "sketch"), within_bound, "a long, b long"))
+        linked = written(map_arrow(sided(close, "text"), verify_pairs, "a long, b long"))
         discard(pairs, needed, bodies, close)
         return linked
 

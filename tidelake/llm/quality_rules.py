@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.tables import written
+from tidelake.llm.tables import map_arrow, ship, written
 from tidelake.llm.textkit import BREAK, U64, Words, mix, slices, windows
 
 MAX_FALSE_REJECTION = 0.05
@@ -112,7 +112,7 @@ def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
     keep = [c for c in keep if c not in COUNTS]
     schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in COUNTS)])
     read = list(dict.fromkeys([*keep, "text"]))
-    return docs.select(*read).mapInArrow(counter(keep), schema)
+    return map_arrow(docs.select(*read), counter(keep), schema)
 
 
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
@@ -185,6 +185,7 @@ def cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang") -> Data
     tested = F.array(*(F.struct(F.lit(c).alias("cutoff"), F.col(f"step {i}").alias("rejected")) for i, c in enumerate(GRID)))
     tests = wide.select("stratum", "n", F.explode(tested).alias("t")).select("stratum", "n", "t.*")
     level = ERROR_LEVEL / max(1, wide.count())
+    ship(tests.sparkSession)
     found = tests.groupBy("stratum").applyInPandas(strictest(level, MAX_FALSE_REJECTION), "stratum string, step double")
     cuts = (F.when(F.col("step").isNotNull() & F.col(f"floor_{r}").isNotNull(), F.greatest("step", f"floor_{r}")).alias(f"cut_{r}") for r in RULES)
     return found.join(limits, "stratum").select("stratum", *cuts)
