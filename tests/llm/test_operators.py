@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from tidelake.llm import bpe, decontamination, language_id, license_scan, line_dedup, linking, parity_join
 from tidelake.llm import quality_classifier, quality_rules, quotation_links, sharding
 from tidelake.llm.queries import TOKENIZER_FILE
-from tidelake.llm.tables import written
+from tidelake.llm.tables import map_arrow, written
 from tidelake.llm.textkit import slices
 
 SCHEMA = "doc_id long, text string, lang string, n_words string, score string, shard string, gone string"
@@ -261,11 +261,11 @@ def test_classifier_at_the_edges(spark):
     edge = [(300, None), (301, ""), (302, "123 !!"), (302, "123 !!")]
     docs = frame(spark, good + bad + edge)
     labelled = docs.where("doc_id < 200").withColumn("label", (F.col("doc_id") < 100).cast("int"))
-    got = {r.doc_id: r for r in quality_classifier.classify(docs, labelled, ["doc_id", "score"]).collect()}
+    got = {r.doc_id: r for r in quality_classifier.classify(docs, labelled, labelled, ["doc_id", "score"]).collect()}
     assert all(got[k].predicted == 1 for k, _ in good) and all(got[k].predicted == 0 for k, _ in bad)
     assert got[300].score == got[301].score == 0.5
-    assert {r.score for r in quality_classifier.classify(docs, labelled.limit(0), ["doc_id"]).collect()} == {0.5}
-    assert quality_classifier.classify(frame(spark, []), labelled, ["doc_id"]).count() == 0
+    assert {r.score for r in quality_classifier.classify(docs, labelled, labelled.limit(0), ["doc_id"]).collect()} == {0.5}
+    assert quality_classifier.classify(frame(spark, []), labelled, labelled, ["doc_id"]).count() == 0
 
 
 def test_language_by_shared_strings(spark):
@@ -434,3 +434,51 @@ def test_line_dedup_finds_all_lines_of_the_stated_similarity(spark):
 def test_lines_always_have_enough_triples_free_of_overlaps():
     for n in range(line_dedup.FEWEST_WORDS, 400):
         assert -(-(n - line_dedup.GRAM + 1) // (2 * line_dedup.GRAM - 1)) > n // 9
+
+
+def test_votes_equal_plain_cosines_and_ties_go_to_the_first():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 4, (200, 40)).astype(np.float32)
+    got = quality_classifier.first_of_most(values, 15)
+    for row, places in zip(values, got, strict=True):
+        assert places.tolist() == sorted(sorted(range(40), key=lambda k: (-row[k], k))[:15])
+    axes = rng.standard_normal((quality_classifier.DIMS, 8)).astype(np.float32)
+    known = quality_classifier.to_unit(rng.standard_normal((40, 8)).astype(np.float32))
+    labels, idf = rng.integers(0, 2, 40), np.ones(quality_classifier.DIMS)
+    counts = rng.integers(0, 3, (5, quality_classifier.DIMS)).astype(np.float64)
+    scores = quality_classifier.Voter(idf, axes, known, labels).scores(counts)
+    for row, score in zip(quality_classifier.to_unit(quality_classifier.weighted(counts, idf) @ axes), scores, strict=True):
+        cosines = [float(np.dot(row, x)) for x in known]
+        nearest = sorted(range(40), key=lambda k: (-cosines[k], k))[:15]
+        weight = [max(cosines[k], 0.0) ** quality_classifier.POWER for k in nearest]
+        assert score == pytest.approx(sum(w * labels[k] for w, k in zip(weight, nearest, strict=True)) / sum(weight), abs=1e-4)
+
+
+def test_sample_is_bounded_and_needs_no_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "SAMPLE", 10)
+    docs = frame(spark, [(k, f"text {k}") for k in range(50)] + [(7, "text 7")] * 30 + [(3, "other"), (None, "x"), (60, None)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(70)], "doc_id long, label int")
+    got = [sorted(map(tuple, quality_classifier.sampled(docs.repartition(n), labels).collect())) for n in (1, 5)]
+    assert got[0] == got[1] and len(got[0]) == 10
+
+
+def test_worker_tables_are_made_once(spark):
+    """Tasks reuse what their process has imported: its memory does not grow from task to task."""
+    import resource
+
+    def run(batches):
+        import os
+
+        for batch in batches:
+            for _ in line_dedup.describe_lines(iter([batch])):
+                pass
+            size = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([size])], names=["pid", "kb"])
+
+    rows = spark.range(16).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("version"), F.lit("a b c\nd e").alias("text")).coalesce(1)
+    found = collections.defaultdict(list)
+    for _ in range(100):
+        for r in map_arrow(rows, run, "pid long, kb long").collect():
+            found[r.pid].append(r.kb)
+    longest = max(found.values(), key=len)
+    assert longest[-1] - longest[len(longest) // 5] < 20_000

@@ -7,7 +7,7 @@ brought to length one, and the result is projected on the leading singular vecto
 
 The sample is bounded: ``SAMPLE`` labelled texts, lowest hash of the id first. Its vectors and labels are
 sent to every task (about 300 bytes each); every document is compared with all of them, in blocks, and
-its score is the mean label of the ``NEIGHBOURS`` nearest, weighted by a power of their cosine.
+its score is the mean label of the ``NEIGHBOURS`` nearest (ties: smaller ids), weighted by a power of their cosine.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelake.llm.tables import map_arrow, written
 from tidelake.llm.textkit import U64, Words, mix, slices
 
 SAMPLE = 4000
@@ -95,7 +96,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         dims = pa.array(np.append(np.arange(DIMS), -1), pa.int32())
         yield pa.RecordBatch.from_arrays([dims, pa.array(np.append(held, n))], names=["dim", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "dim int, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
+    rows = map_arrow(docs.select("text"), run, "dim int, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
     found = dict(map(tuple, rows))
     return np.array([found.get(d, 0) for d in range(DIMS)]), found.get(-1, 0)
 
@@ -110,7 +111,7 @@ def labelled_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 part = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(packed, pa.binary())], names=["doc_id", "label", "counts"])
 
-    got = sample.mapInArrow(run, "doc_id long, label int, counts binary").orderBy("doc_id").toArrow()
+    got = map_arrow(sample, run, "doc_id long, label int, counts binary").orderBy("doc_id", "label", "counts").toArrow()
     counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.float32).reshape(-1, DIMS)
     return got.column("label").to_numpy(), counts
 
@@ -128,6 +129,14 @@ def principal(x: np.ndarray, rank: int) -> np.ndarray:
     return (basis @ turned.T[:, :rank]).astype(np.float32)
 
 
+def first_of_most(values: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` largest values of every row; of equal ones the first count."""
+    least = -np.partition(-values, k - 1, axis=1)[:, k - 1 : k]
+    above, level = values > least, values == least
+    chosen = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+    return np.nonzero(chosen)[1].reshape(-1, k)
+
+
 class Voter:
     def __init__(self, idf: np.ndarray, axes: np.ndarray, vectors: np.ndarray, labels: np.ndarray):
         self.idf, self.axes, self.vectors, self.labels = idf, axes, vectors, labels.astype(np.float64)
@@ -141,7 +150,7 @@ class Voter:
         k = min(NEIGHBOURS, len(self.labels))
         for at in range(0, len(vectors), 256):
             cosines = vectors[at : at + 256] @ self.vectors.T
-            nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+            nearest = first_of_most(cosines, k)
             weight = np.maximum(np.take_along_axis(cosines, nearest, axis=1), 0).astype(np.float64) ** POWER
             total = weight.sum(axis=1)
             votes = (weight * self.labels[nearest]).sum(axis=1)
@@ -149,13 +158,25 @@ class Voter:
         return np.clip(out, 0.0, 1.0)
 
 
-def fit(docs: DataFrame, labelled: DataFrame) -> Voter:
-    """From all ``docs`` the document frequencies, from ``labelled`` (doc_id, text, label) the neighbours."""
+def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of at most ``SAMPLE`` labelled texts, lowest hash of the id first.
+
+    They are chosen on ids and hashes of texts; only the chosen texts leave the scan.
+    """
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropna()
+    rows = named.select("doc_id", F.xxhash64("text").alias("version")).distinct()
+    told = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).dropna().distinct()
+    chosen = written(rows.join(told, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "label", "version").limit(SAMPLE))
+    # Broadcast: SAMPLE rows of 20 bytes.
+    texts = named.withColumn("version", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "version"])
+    return texts.groupBy("doc_id", "version", "label").agg(F.min("text").alias("text")).drop("version")
+
+
+def fit(docs: DataFrame, learned: DataFrame, labels: DataFrame) -> Voter:
+    """From all ``docs`` the document frequencies; from those in ``learned`` with a label the neighbours."""
     held, n = document_frequencies(docs)
     idf = np.log((1 + n) / (1 + held)) + 1
-    usable = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label")).dropna()
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "text").limit(SAMPLE)
-    labels, counts = labelled_counts(sample)
+    labels, counts = labelled_counts(sampled(learned, labels))
     if not len(labels):
         return Voter(idf, np.zeros((DIMS, 1), np.float32), np.zeros((0, 1), np.float32), labels)
     x = weighted(counts, idf)
@@ -163,13 +184,16 @@ def fit(docs: DataFrame, labelled: DataFrame) -> Voter:
     return Voter(idf, axes, to_unit(x @ axes), labels)
 
 
-def classify(docs: DataFrame, labelled: DataFrame, keep: list[str]) -> DataFrame:
+def classify(docs: DataFrame, learned: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with score (0 to 1, higher: label 1 likelier) and predicted (score >= 0.3).
 
-    Empty and NULL texts, and all texts if there are no labels, get the share of label 1 in the sample
-    (0.5 without one). Columns of ``keep`` with the names of outputs give way.
+    Neighbours are texts of ``learned`` (doc_id, text) with a row in ``labels`` (doc_id, label); rows without
+    id, text or label teach nothing, rows that repeat are one. Of equally near neighbours the smaller ids
+    vote. Empty and NULL texts, and all texts if there are no labels, get the share of label 1 in the
+    sample (0.5 without one). Columns of ``keep`` with the names of outputs give way.
     """
-    voter = fit(docs, labelled)
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    voter = fit(docs, learned.withColumn("text", F.col("text").cast("string")), labels)
     keep = [c for c in keep if c not in ("score", "predicted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +203,6 @@ def classify(docs: DataFrame, labelled: DataFrame, keep: list[str]) -> DataFrame
             columns = [*(batch.column(c) for c in keep), pa.array(scores), pa.array((scores >= CUTOFF).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score", "predicted"])
 
-    docs = docs.withColumn("text", F.col("text").cast("string"))
     more = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     read = list(dict.fromkeys([*keep, "text"]))
-    return docs.select(*read).mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *more]))
+    return map_arrow(docs.select(*read), run, T.StructType([*(docs.schema[c] for c in keep), *more]))

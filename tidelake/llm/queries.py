@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from tidelake.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TOKENIZER_FILE = "/opt/tokenizers/word_bpe_49k.json"
+TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -91,8 +92,7 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document, learned from labels of four fifths of the ids."""
     documents, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
     agreed = labels.groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("_most")).where("label = _most")
-    learned = documents.where(crc_mod(5) != 0).join(agreed.select("doc_id", "label"), "doc_id")
-    scored = quality_classifier.classify(documents, learned, ["doc_id"])
+    scored = quality_classifier.classify(documents, documents.where(crc_mod(5) != 0), agreed, ["doc_id"])
     return scored.select("doc_id", (crc_mod(5) == 0).alias("held_out"), "score", "predicted")
 
 
