@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import bpe, decontamination, language_id, license_scan, line_dedup, parity_join, quality_classifier
+from tidelake.llm import bpe, decontamination, language_id, lattice_lm, license_scan, line_dedup, parity_join, quality_classifier
 from tidelake.llm import quality_rules, quotation_links, sharding
 from tidelake.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
+PIECES_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -120,3 +121,11 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return parity_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op11_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Marginal subword likelihood of every document, learned from six sevenths of the ids."""
+    documents = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", crc_mod(7) == 2)
+    scored = lattice_lm.score(documents, ~F.col("held_out"), lattice_lm.read_vocabulary(PIECES_FILE), ["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
