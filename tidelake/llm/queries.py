@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm import bpe, decontamination, language_id, lattice_lm, license_scan, line_dedup, parity_join, quality_classifier
-from tidelake.llm import quality_rules, quotation_links, sharding
+from tidelake.llm import block_whitening, hadamard_clusters, quality_rules, quotation_links, sharding
 from tidelake.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +129,42 @@ def op11_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", crc_mod(7) == 2)
     scored = lattice_lm.score(documents, ~F.col("held_out"), lattice_lm.read_vocabulary(PIECES_FILE), ["doc_id", "held_out"])
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op12_block_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the leading components of the distinct ones."""
+    whitened = block_whitening.whiten(table(spark, folder, "embeddings"))
+    deviation = F.col("deviation").try_cast("long").alias("deviation")
+    return whitened.select("vec_id", "component", "n", deviation, "whitened", "explained", "identity_error")
+
+
+@query
+def op13_hadamard_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every embedding after the rounds."""
+    return hadamard_clusters.cluster(table(spark, folder, "embeddings"))
+
+
+def clusters_sql(rounds: int, centroids: int) -> str:
+    """All distances of every round, in plain SQL."""
+    parts = [
+        """vectors AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(CAST(c AS DOUBLE)))) = 64)""",
+        f"""c0 AS (SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS cluster, x FROM (
+SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, x FROM vectors ORDER BY h NULLS LAST, x LIMIT {centroids}))""",
+    ]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} AS (SELECT r, vec_id, vectors.x AS x, min({{'d': list_sum(list_transform(list_zip(vectors.x, c{k}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'cluster': cluster}}) AS best
+FROM vectors, c{k} GROUP BY ALL)""")
+        parts.append(f"""m{k} AS (SELECT cluster, list(m ORDER BY i) AS x FROM (SELECT cluster, i, CAST((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM (
+SELECT best.cluster AS cluster, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{k}) GROUP BY cluster, i) GROUP BY cluster)""")
+        parts.append(f"c{k + 1} AS (SELECT cluster, coalesce(m{k}.x, c{k}.x) AS x FROM c{k} LEFT JOIN m{k} USING (cluster))")
+    last = f"a{rounds}"
+    return "WITH " + ",\n".join(parts[: 2 + 3 * rounds + 1]) + f"""
+SELECT vec_id, best.cluster AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM {last} JOIN c{rounds} ON c{rounds}.cluster = best.cluster"""
+
+
+ORACLE["op13_hadamard_clusters"] = clusters_sql(hadamard_clusters.ROUNDS, hadamard_clusters.CENTROIDS)
