@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.linking import linked_groups, shared_buckets
+from tidelake.llm.linking import distinct_sets, linked_groups, shared_buckets
 from tidelake.llm.tables import discard, map_arrow, written
 from tidelake.llm.textkit import MOST_WORDS, PLAIN, U64, Words, as_long, bit_lanes, majority, mix, slices, windows
 
@@ -252,7 +252,9 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         .orderBy(F.desc("n"), "gram").limit(COMMON_GRAMS).select("gram").toArrow().column("gram").to_numpy()
     )
     keys = map_arrow(texts, keys_of(np.sort(common.view(U64))), "bucket long, id long, n int, flips long")
-    shared = written(shared_buckets(keys.select("bucket", "id", F.struct("n", "flips").alias("info"))))
+    every = written(shared_buckets(keys.select("bucket", "id", F.struct("n", "flips").alias("info"))))
+    shared = distinct_sets(every)
+    discard(every)
 
     def near(a: Column, b: Column) -> Column:
         apart = F.bit_count(a["flips"].bitwiseXOR(b["flips"]))

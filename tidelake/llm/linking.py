@@ -1,10 +1,12 @@
 """Groups of linked rows from buckets of candidates, without all pairs of a bucket.
 
-Rows that share a bucket are candidates. First every row is compared with the smallest id of its
-bucket only, which is linear however large the bucket is. Rows of a bucket that then belong to one
-group need no further comparison: any link between them would not change the groups. What is left are
-pairs of rows of different groups; they are compared with each other and with all members of the
-bucket, and so no link between groups is lost.
+Rows that share a bucket are candidates. Buckets with the same members bring the same pairs, so one of
+them stays. First every id is compared with the smallest id that it shares a bucket with (its smallest
+star): one pair an id, however large the buckets are. Then the groups found are contracted, and ids are
+compared with the stars of their other buckets where those belong to another group. Rows of a bucket that
+then belong to one group need no further comparison: any link between them would not change the groups.
+What is left are pairs of rows of different groups; they are compared with each other and with all members
+of the bucket, and so no link between groups is lost.
 """
 
 from __future__ import annotations
@@ -45,16 +47,28 @@ def components(edges: DataFrame) -> DataFrame:
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """(bucket, id, star): rows of buckets with several ids, each once, with the bucket's smallest id.
 
-    One shuffle of ``rows`` (bucket, id); most buckets have one id, and their rows end there. A column
-    ``info`` comes along, with that of the smallest id as ``star_info``.
+    One shuffle of ``rows`` (bucket, id); most buckets have one id, and their rows end there. Other columns
+    come along.
     """
     here = Window.partitionBy("bucket").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     both = rows.withColumns({"star": F.first("id").over(here), "last": F.last("id").over(here)})
-    if "info" in rows.columns:
-        both = both.withColumn("star_info", F.first("info").over(here))
     return both.where("star <> last").drop("last").dropDuplicates(["bucket", "id", "star"])
 
 
+def distinct_sets(shared: DataFrame) -> DataFrame:
+    """One of the buckets of each set of ids, as a written table; sets are told apart by 128 bits and their size."""
+    ids = (F.xxhash64("id", F.lit(k)).cast("decimal(38,0)") for k in (0, 1))
+    sets = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *(F.sum(h).alias(f"sum{k}") for k, h in enumerate(ids)))
+    kept = sets.groupBy("n", "sum0", "sum1").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return written(shared.join(kept, "bucket", "left_semi"))
+
+
+def with_component(rows: DataFrame, groups: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the component of the id in ``column``; an id without a link is its own."""
+    named = groups.select(F.col("id").alias(column), F.col("component").alias(f"{column}_component"))
+    return rows.join(named, column, "left").withColumn(f"{column}_component", F.coalesce(f"{column}_component", column))
+
+
 def linked_groups(
     shared: DataFrame,
     facts: DataFrame | None,
@@ -66,26 +80,30 @@ def linked_groups(
 ) -> DataFrame:
     """(id, component) of all ids that have a link.
 
-    ``shared`` is a written table of ``shared_buckets`` and ``facts`` has (id, info) of all its ids, or is
+    ``shared`` is a written table of ``distinct_sets`` and ``facts`` has (id, info) of all its ids, or is
     None where ``shared`` itself carries the small ``info``.
     ``near(info, info)`` is a cheap necessary condition; ``verify`` keeps the pairs (a, b) that are linked.
     ``sketched(ids)`` makes a written table with (id, sketch) for the rows of buckets of several groups;
     ``close_sketches(sketch, sketch)`` is then a further necessary condition, and ``verify`` gets the table too.
     ``first_met(bucket, info, info)`` may tell the one bucket that is to bring a pair which meets in several.
     """
-    stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b"), *(["star_info", "info"] if facts is None else []))
-    if facts is None:
-        close = stars.where(near(F.col("star_info"), F.col("info"))).select("a", "b").distinct()
-    else:
-        known = stars.distinct().join(facts.toDF("a", "a_info"), "a").join(facts.toDF("b", "b_info"), "b")
-        close = known.where(near(F.col("a_info"), F.col("b_info"))).select("a", "b")
-    links = written(verify(close))
+    stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b"))
+
+    def informed(pairs: DataFrame) -> DataFrame:
+        """The pairs that ``near`` lets through."""
+        known = pairs.join(told.toDF("a", "a_info"), "a").join(told.toDF("b", "b_info"), "b")
+        return known.where(near(F.col("a_info"), F.col("b_info"))).select("a", "b")
+
+    told = facts if facts is not None else written(shared.groupBy("id").agg(F.min("info").alias("info")))
+    first = written(verify(informed(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))))
+    groups = written(components(first))
+    apart = with_component(with_component(stars.distinct(), groups, "a"), groups, "b").where("a_component <> b_component").select("a", "b")
+    links = written(first.union(verify(informed(apart))))
+    discard(first, groups)
     groups = written(components(links))
-    told = shared if facts is None else shared.join(facts, "id")
-    named = told.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    here = Window.partitionBy("bucket")
-    least, most = F.min("component").over(here).alias("least"), F.max("component").over(here).alias("most")
-    mixed = named.select("*", least, most).where("least <> most AND id <> star")
+    named = with_component(shared.select("bucket", "id", "star"), groups, "id").withColumnRenamed("id_component", "component")
+    span = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    mixed = named.where("id <> star").join(span.select("bucket", "least"), "bucket").join(told, "id")
     mixed = written(mixed.select("bucket", "id", "info", "component", (F.col("component") != F.col("least")).alias("other")))
     met_by: DataFrame = mixed
     facts_of = () if sketched is None else (sketched(mixed.select("id").distinct()),)
@@ -105,5 +123,5 @@ def linked_groups(
         discard(met_by)
     discard(mixed)
     found = written(components(links.union(late)))
-    discard(links, groups, late)
+    discard(links, groups, late, *([told] if facts is None else []))
     return found

@@ -13,7 +13,7 @@ never the result.
 The number of blocks goes with the size band of a set (powers of 16). A set near the upper end of its
 band joins the next band as well, where its larger partners are.
 
-Candidates that share a key are pruned by size and by parity sketches of 256 bits and of 4096 or more, whose
+Candidates that share a key are pruned by size and by parity sketches of 256, 2048 and at least 4096 bits, whose
 Hamming distance is a lower bound of the differing shingles too; the rest are verified on their whole
 shingle sets.
 Shingles are compared by 64-bit hashes, sets by 64 bits while candidates are sought and 128 bits in the end.
@@ -22,13 +22,14 @@ Shingles are compared by 64-bit hashes, sets by 64 bits while candidates are sou
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.linking import linked_groups, shared_buckets
+from tidelake.llm.linking import distinct_sets, linked_groups, shared_buckets
 from tidelake.llm.tables import discard, map_arrow, written
 from tidelake.llm.textkit import STEP, U64, Words, as_long, mix, shingles_of, slices
 
@@ -39,7 +40,12 @@ BAND_BITS = 4
 #: Bits of the large sketch, for sets of up to four shingles a bit, and as it grows.
 SKETCH_BITS = 4096
 SKETCH_STEP = 16
-SETS = "doc_id long, n_shingles long, set1 long, set2 long, s0 long, s1 long, s2 long, s3 long"
+#: Sketch of a set in the table of sets, of 64 bits each; folded to four for the first comparison.
+SKETCH_LONGS = 32
+PARTS = [f"p{k}" for k in range(SKETCH_LONGS)]
+SETS = "doc_id long, n_shingles long, set1 long, set2 long, " + ", ".join(f"{p} long" for p in PARTS)
+#: Sets that a task remembers as sent, so copies of one text send their keys once.
+REMEMBERED = 200_000
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -64,12 +70,12 @@ def dense_sketch(grams: np.ndarray, bits: int) -> np.ndarray:
 
 def describe_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = np.zeros((7, len(batch)), dtype=np.int64)
+        out = np.zeros((3 + SKETCH_LONGS, len(batch)), dtype=np.int64)
         for row, grams in shingle_sets(batch.column("text")):
             if len(grams):
                 out[:3, row] = len(grams), *digest(grams)
-                out[3:, row] = dense_sketch(grams, 256).view(np.int64)
-        names = ["doc_id", "n_shingles", "set1", "set2", "s0", "s1", "s2", "s3"]
+                out[3:, row] = dense_sketch(grams, 64 * SKETCH_LONGS).view(np.int64)
+        names = ["doc_id", "n_shingles", "set1", "set2", *PARTS]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, out)], names=names)
 
 
@@ -128,6 +134,7 @@ def tokens_of(common: np.ndarray):
     is_common[common.view(U64) >> U64(64 - COMMON_BITS)] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
             keys, owners, held = [], [], 0
 
@@ -136,9 +143,12 @@ def tokens_of(common: np.ndarray):
                 return pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(keys))), pa.array(ids)], names=["bucket", "id"])
 
             for _, grams in shingle_sets(batch.column("text")):
-                if len(grams):
+                if len(grams) and (whole := digest(grams)) not in sent:
+                    if len(sent) >= REMEMBERED:
+                        sent.clear()
+                    sent.add(whole)
                     keys.append(set_tokens(grams, is_common))
-                    owners.append(digest(grams)[0])
+                    owners.append(whole[0])
                     held += len(keys[-1])
                 if held > 100_000:
                     yield packed()
@@ -207,6 +217,12 @@ def may_link(a: Column, b: Column) -> Column:
     return (4 * F.least(a["n"], b["n"]) >= 3 * F.greatest(a["n"], b["n"])) & (7 * apart <= total)
 
 
+def within_sketch(a: Column, b: Column) -> Column:
+    """Whether the larger sketches leave room for a link."""
+    apart = sum((F.bit_count(a[p].bitwiseXOR(b[p])) for p in PARTS), F.lit(0))
+    return 7 * apart <= a["n"] + b["n"]
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -222,7 +238,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = written(
         sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set1", "set2")
-        .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n_shingles", "s0", "s1", "s2", "s3")))
+        .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n_shingles", *PARTS)))
     )
     named = texts.where("doc_id IS NOT NULL")
     common = (
@@ -230,10 +246,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .orderBy(F.desc("n"), "gram").limit(COMMON_SHINGLES).select("gram").toArrow().column("gram").to_numpy()
     )
     tokens = map_arrow(named.select("text"), tokens_of(common), "bucket long, id long")
-    shared = written(shared_buckets(tokens))
-    info = F.struct(F.col("n_shingles").alias("n"), "s0", "s1", "s2", "s3")
-
-    def verify(pairs: DataFrame) -> DataFrame:
+    every = written(shared_buckets(tokens))
+    shared = distinct_sets(every)
+    discard(every)
+    folded = (reduce(Column.bitwiseXOR, (F.col(f"p{k + 4 * j}") for j in range(SKETCH_LONGS // 4))).alias(f"s{k}") for k in range(4))
+    info = F.struct(F.col("n_shingles").alias("n"), *folded)
+
+    def sketched(ids: DataFrame) -> DataFrame:
+        sketch = F.struct(F.col("n_shingles").alias("n"), *PARTS).alias("sketch")
+        return written(classes.select(F.col("set1").alias("id"), sketch).join(ids, "id", "left_semi"))
+
+    def verify(pairs: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
+        if sketches is not None:
+            discard(sketches)
         pairs = written(pairs)
         needed = pairs.select(F.col("a").alias("set1")).union(pairs.select("b")).distinct()
         needed = written(classes.join(needed, "set1", "left_semi").select(F.col("id").alias("_id")))
@@ -251,7 +276,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         discard(pairs, needed, bodies, close)
         return linked
 
-    groups = linked_groups(shared, classes.select(F.col("set1").alias("id"), info.alias("info")), may_link, verify)
+    groups = linked_groups(shared, classes.select(F.col("set1").alias("id"), info.alias("info")), may_link, verify, sketched, within_sketch)
     discard(shared)
     # A group's component is its smallest doc_id, not its smallest digest.
     member = classes.select("set1", "set2", "id").join(groups.toDF("set1", "group"), "set1", "left")
