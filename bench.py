@@ -65,7 +65,7 @@ def main() -> None:
     lines_path = home.path("input", "lines")
     sample.raw_lines(events).repartition(int(CPUS)).write.parquet(lines_path)
     store.overwrite_partitions(sample.bronze_rows(events), home.bronze, ["date", "hour"])
-    bounds = events.agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi")).first()
+    bounds = events.agg(F.date_sub(F.min("ts"), 2).alias("lo"), F.date_add(F.max("ts"), 2).alias("hi")).first()
     days = backfill.days_between(bounds["lo"], bounds["hi"])
 
     def flatten_and_dedup():
@@ -73,7 +73,7 @@ def main() -> None:
         run(flatten.good_lines(first_per_file(spark.read.parquet(home.staging("bench")))))
 
     timed("lake_lines_to_bronze", flatten_and_dedup)
-    timed("lake_bronze_to_silver", lambda: silver.build_days(spark, home, days))
+    timed("lake_bronze_to_silver", lambda: silver.process_dates(spark, home, days))
     timed("lake_silver_to_gold", lambda: gold.build_days(spark, home, days))
     timed("lake_publish", lambda: snapshot.publish(spark, home))
 

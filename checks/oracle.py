@@ -7,7 +7,7 @@ from checks.registry import REPO_METRICS
 # The events table as bronze rows; independent of the Spark code it is compared with.
 BRONZE = """
 base AS (
-  SELECT event_id AS src_id, ts, user_id, event_type AS kind, props,
+  SELECT event_id AS src_id, copy, ts, user_id, event_type AS kind, props,
     CASE WHEN event_id % 997 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
     CASE WHEN event_id % 499 = 1 THEN NULL
          WHEN event_type = 'click' THEN 'PushEvent'
@@ -32,9 +32,10 @@ base AS (
          ELSE NULL END AS repo_language,
     CASE WHEN event_id % 211 = 5 THEN ts - INTERVAL 1 DAY WHEN event_id % 211 = 6 THEN ts + INTERVAL 1 DAY
          ELSE ts END AS file_ts
-  FROM events),
-copies AS (
-  SELECT *, 0 AS copy FROM base UNION ALL SELECT *, 1 AS copy FROM base WHERE src_id % 50 = 0),
+  FROM (
+    SELECT *, 0 AS copy FROM events
+    UNION ALL SELECT * REPLACE (CASE WHEN event_id % 350 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts), 1 AS copy
+    FROM events WHERE event_id % 50 = 0)),
 bronze AS (
   SELECT src_id, copy, ts, event_id, event_type, created_at, event_ts,
     CASE WHEN src_id % 101 = 0 THEN NULL ELSE src_id % 23 END AS repo_id,
@@ -48,11 +49,12 @@ bronze AS (
     CASE WHEN event_type = 'PullRequestEvent' THEN concat('user_', CAST(user_id AS VARCHAR)) END AS pr_user_login,
     CASE event_type WHEN 'WatchEvent' THEN 'started' END AS watch_action,
     repo_language, CAST(NULL AS VARCHAR) AS repo_created_at,
-    CASE copy WHEN 0 THEN '2024-02-01T00:00:00+00:00' ELSE '2024-02-01T06:00:00+00:00' END AS ingest_ts,
+    CASE WHEN copy = 0 THEN '2024-02-01T00:00:00+00:00' WHEN src_id % 700 = 0 THEN '2024-01-31T18:00:00+00:00'
+      ELSE '2024-02-01T06:00:00+00:00' END AS ingest_ts,
     concat(strftime(file_ts, '%Y-%m-%d'), '-', CAST(hour(file_ts) AS VARCHAR), '.json.gz') AS source_file,
     CAST(file_ts AS DATE) AS date, CAST(hour(file_ts) AS VARCHAR) AS hour,
     date_trunc('hour', file_ts) AS file_hour
-  FROM copies)"""
+  FROM base)"""
 
 SILVER = (
     BRONZE
@@ -101,7 +103,7 @@ lines AS (
     CASE src_id % 331 WHEN 3 THEN 'bad_json' WHEN 4 THEN 'bad_json' WHEN 5 THEN 'bad_json'
       WHEN 6 THEN 'not_an_object' END AS reason
   FROM bronze),
-kept AS (SELECT * FROM lines WHERE reason IS NULL AND (copy = 0 OR event_id IS NULL))"""
+kept AS (SELECT * FROM lines WHERE reason IS NULL AND (copy = 0 OR event_id IS NULL OR src_id % 350 = 0))"""
 )
 
 
@@ -157,8 +159,8 @@ ORACLE: dict[str, str] = {
     "bronze_dedup": _lines("SELECT source_file, event_id, payload_size FROM kept"),
     "bronze_stats": _lines(
         """SELECT source_file, date, hour,
-  CAST(count(*) FILTER (reason IS NULL AND (copy = 0 OR event_id IS NULL)) AS BIGINT) AS rows,
-  CAST(count(*) FILTER (reason IS NULL AND copy = 1 AND event_id IS NOT NULL) AS BIGINT) AS duplicates,
+  CAST(count(*) FILTER (reason IS NULL AND (copy = 0 OR event_id IS NULL OR src_id % 350 = 0)) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (reason IS NULL AND copy = 1 AND event_id IS NOT NULL AND src_id % 350 <> 0) AS BIGINT) AS duplicates,
   CAST(count(*) FILTER (reason IS NOT NULL) AS BIGINT) AS bad
 FROM lines GROUP BY ALL"""
     ),
@@ -171,6 +173,19 @@ FROM lines GROUP BY ALL"""
         "(SELECT date_trunc('hour', min(ts)) AS lo, date_trunc('hour', max(ts)) AS hi FROM events) "
         "EXCEPT SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'purchase'"
     ),
+    "dq_hour_completeness": _bronze(
+        """, hours AS (SELECT file_hour AS hour_ts, count(*) AS n, CAST(epoch(file_hour) AS BIGINT) // 3600 % 37 AS f FROM bronze GROUP BY ALL),
+told AS (SELECT hour_ts, CASE WHEN f = 11 THEN 0 ELSE 1 END AS files,
+  CASE WHEN f NOT IN (5, 9) THEN n + CASE WHEN f = 7 THEN 1 ELSE 0 END END AS ledger_rows,
+  CASE WHEN f NOT IN (3, 9) THEN n ELSE 0 END AS stored_rows, f FROM hours)
+SELECT hour_ts, CAST(files AS BIGINT) AS files, CAST(ledger_rows AS BIGINT) AS ledger_rows, CAST(stored_rows AS BIGINT) AS stored_rows,
+  CASE f WHEN 3 THEN 'lost' WHEN 5 THEN 'unrecorded' WHEN 7 THEN 'count_differs' WHEN 9 THEN 'not_landed' END AS problem FROM told"""
+    ),
+    "dq_bronze_columns": _bronze(
+        """SELECT DISTINCT date, hour, CASE f WHEN 3 THEN 'repo_id' ELSE 'actor_id' END AS "column",
+  CASE f WHEN 3 THEN 'missing' ELSE 'string instead of int64' END AS problem
+FROM (SELECT date, hour, CAST(epoch(file_hour) AS BIGINT) // 3600 % 37 AS f FROM bronze) WHERE f IN (3, 5)"""
+    ),
     "parse_created_at": _bronze("SELECT event_id, created_at, event_ts FROM bronze"),
     "bot_flag": _bronze(
         "SELECT actor_login, contains(lower(actor_login), '[bot]') AS is_bot, CAST(count(*) AS BIGINT) AS row_count "

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tidelake import functions as X
 from tidelake.operators import conform, counts, dedup, flatten, metrics, quality
-from tidelake.plans import dashboard
+from tidelake.plans import checks, dashboard
 from tidelake.schemas import BRONZE_COLUMNS, ENTITIES, SILVER_COLUMNS
 from tidelake.session import configure, scratch_dir, written_out
 from tidelake.sources import ledger, raw, sample
+from tidelake.sources.lake import Lake, overwrite_partitions, read_bronze, read_ledger
 from tidelake.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,6 +171,47 @@ def _(spark, folder):
     return naive_hours(ledger.missing_hours(ledger.hour_spine(_bounds(spark, folder)), done))
 
 
+# Hours with a planted fault, by their number since the epoch modulo 37.
+LOST, UNRECORDED, MISCOUNTED, NOT_LANDED, FILE_GONE = 3, 5, 7, 9, 11
+NO_COLUMN, WRONG_TYPE = 3, 5
+
+
+def _hour_number() -> F.Column:
+    return F.pmod(F.floor(F.unix_timestamp(raw.hour_start()) / 3600), F.lit(37))
+
+
+@query("dq_hour_completeness")
+def _(spark, folder):
+    """A stored lake in which some hours lost their files, ledger entries or rows."""
+    lake = Lake(scratch_dir(spark, "dq_hour_completeness"))
+    rows, fault = bronze(spark, folder), _hour_number()
+    overwrite_partitions(rows.where(~fault.isin(LOST, NOT_LANDED)), lake.bronze, ["date", "hour"])
+    hours = rows.groupBy("date", "hour").agg(F.count("*").alias("rows")).withColumn("hour_ts", raw.hour_start())
+    counted = F.col("rows") + F.when(fault == MISCOUNTED, 1).otherwise(0)
+    zero = F.lit(0).cast("bigint")
+    entries = hours.where(~fault.isin(UNRECORDED, NOT_LANDED)).select(
+        "hour_ts", "hour", counted.alias("rows"), zero.alias("duplicates"), zero.alias("bad"), F.lit(INGEST_AT.isoformat()).cast("timestamp").alias("ingested_at"), "date"
+    )
+    entries.write.partitionBy("date").parquet(lake.ledger)
+    stored = flatten.stored_hours(read_bronze(spark, lake)).withColumn("hour_ts", raw.hour_start())
+    return naive_hours(ledger.hour_completeness(hours.where(fault != FILE_GONE), read_ledger(spark, lake), stored))
+
+
+@query("dq_bronze_columns")
+def _(spark, folder):
+    """A stored lake with hours that lack a column or hold it as another type."""
+    lake = Lake(scratch_dir(spark, "dq_bronze_columns"))
+    rows, fault = bronze(spark, folder), _hour_number()
+    parts = (
+        rows.where(fault == NO_COLUMN).drop("repo_id"),
+        rows.where(fault == WRONG_TYPE).withColumn("actor_id", F.col("actor_id").cast("string")),
+        rows.where(~fault.isin(NO_COLUMN, WRONG_TYPE)),
+    )
+    for part in parts:
+        part.hint("rebalance", F.col("date"), F.col("hour")).write.mode("append").partitionBy("date", "hour").parquet(lake.bronze)
+    return checks.bronze_columns(spark, lake)
+
+
 # ---- silver ---------------------------------------------------------------------------------
 
 
@@ -426,22 +468,20 @@ def live_events(spark, folder, work):
     table.repartition(OUT_OF_ORDER_FILES).write.parquet(f"{work}/in")
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
     rows = conform.valid_rows(conform.typed(sample.bronze_rows(stream)))
-    return rows.select("event_id", "event_type", "event_ts")
+    return rows.select("event_id", "event_type", "event_ts", "ingest_ts")
 
 
-def _deduplicated(spark, folder, label):
+def _landed(spark, folder, label):
     work = scratch_dir(spark, label)
-    live.rebuild_available(live_events(spark, folder, work), f"{work}/live", f"{work}/checkpoint-events")
-    return live.rebuilt(spark, f"{work}/live").drop("event_day")
+    live.take_available(live_events(spark, folder, work), f"{work}/live", f"{work}/checkpoint")
+    return f"{work}/live"
 
 
 @query("stream_dedup")
 def _(spark, folder):
-    return naive_hours(_deduplicated(spark, folder, "stream_dedup"))
+    return naive_hours(live.events(spark, _landed(spark, folder, "stream_dedup")))
 
 
 @query("stream_event_type_hourly")
 def _(spark, folder):
-    kept = _deduplicated(spark, folder, "stream_event_type_hourly")
-    hour = F.date_trunc("hour", "event_ts").alias("event_hour_ts")
-    return naive_hours(kept.groupBy(hour, "event_type").agg(F.count("*").alias("event_count")))
+    return naive_hours(live.hourly_type_counts(spark, _landed(spark, folder, "stream_event_type_hourly")))

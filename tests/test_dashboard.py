@@ -84,7 +84,21 @@ def test_unknown_presets_and_limits_are_refused(gold):
 def test_short_ranges_need_hourly_rows(gold):
     empty = {**gold, "event_type_hourly": gold["event_type_hourly"].limit(0)}
     with pytest.raises(dashboard.NoHourlyData):
-        dashboard.summary(empty, "1h")
+        dashboard.resolve_short_range_from_data(empty, "1h")
+    with pytest.raises(Exception, match="no row to take the newest hour from"):
+        dashboard.summary(empty, "1h").collect()
+
+
+def test_building_a_query_runs_no_job_and_days_prune_when_it_runs(spark, gold, tmp_path):
+    stored = str(tmp_path / "hourly")
+    gold["event_type_hourly"].write.partitionBy("event_day").parquet(stored)
+    tables = {**gold, "event_type_hourly": spark.read.schema(gold["event_type_hourly"].schema).parquet(stored)}
+    spark.sparkContext.setJobGroup("building", "building")
+    built = [fn(tables, preset, as_of=AS_OF) for fn in (dashboard.summary, dashboard.event_type_series) for preset in dashboard.SHORT_PRESETS]
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    spark.sparkContext.setJobGroup("other", "other")
+    plan = built[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_day" in plan and "Subquery" in plan
 
 
 @pytest.mark.parametrize(

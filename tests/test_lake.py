@@ -1,6 +1,7 @@
 """Bronze to silver to gold on disk: late rows, replays, empty days, snapshots, catalog."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
@@ -200,16 +201,33 @@ def test_snapshot_follows_the_pointer(spark, lake, three_days):
     second = snapshot.publish(spark, lake)
     assert first != second == snapshot.current(spark, lake)
     # an unfinished publication is not followed
-    read_gold(spark, lake)["event_type_daily"].limit(1).write.parquet(
-        lake.path("snapshots", "snapshot=unfinished", "event_type_daily")
-    )
+    unfinished = lake.path("snapshots", "data", "event_type_daily", "version=unfinished")
+    read_gold(spark, lake)["event_type_daily"].limit(1).write.partitionBy("event_day").parquet(unfinished)
     assert snapshot.current(spark, lake) == second
+    assert dashboard.summary(snapshot.open_current(spark, lake), "max", as_of=AT).first()["total_events"] == before
+
+
+def test_publishing_writes_the_changed_days_alone(spark, lake, three_days, land):
+    backfill.refresh(spark, lake, three_days)
+    first = snapshot.publish(spark, lake)
+    assert snapshot.publish(spark, lake) != first
+    dates = land("2024-03-05-13", [event("more", created_at="2024-03-05T13:00:00Z")])
+    backfill.refresh(spark, lake, dates)
+    second = snapshot.publish(spark, lake)
+    for table in GOLD_TABLES:
+        written = sorted(p.name for p in Path(lake.snapshots, "data", table, f"version={second}").glob("event_day=*"))
+        assert written == ["event_day=2024-03-05"]
+    totals = [dashboard.summary(snapshot.open_snapshot(spark, lake, s), "max", as_of=AT).first()["total_events"] for s in (first, second)]
+    assert totals == [3 * 91, 3 * 91 + 1]
+    assert snapshot.expire(spark, lake, keep=1) == len(GOLD_TABLES)
+    assert rows(snapshot.open_current(spark, lake)["event_type_daily"]) == rows(read_gold(spark, lake)["event_type_daily"])
+    assert not Path(lake.snapshots, "data", "event_type_daily", f"version={first}", "event_day=2024-03-05").exists()
 
 
 def test_publish_refuses_empty_tables(spark, lake, land):
     dates = land("2024-03-05-10", [event("1")])
     backfill.refresh(spark, lake, dates)
-    with pytest.raises(quality.EmptyGoldTable, match="pr_org_daily is empty"):
+    with pytest.raises(quality.EmptyGoldTable, match="nothing to publish in .*pr_org_daily"):
         snapshot.publish(spark, lake)
     with pytest.raises(snapshot.NothingPublished):
         snapshot.current(spark, lake)

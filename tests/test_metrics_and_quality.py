@@ -124,7 +124,7 @@ def test_gold_gates(spark):
     assert {r["negative_rows"] for r in quality.negative_counts(gold).collect()} == {1}
     quality.require_non_empty(gold)
     gold["pr_org_daily"] = gold["pr_org_daily"].limit(0)
-    with pytest.raises(quality.EmptyGoldTable, match="^pr_org_daily is empty$"):
+    with pytest.raises(quality.EmptyGoldTable, match="^nothing to publish in pr_org_daily$"):
         quality.require_non_empty(gold)
 
 

@@ -1,6 +1,10 @@
 """The stream lands every file once and ends with the tables the batch plans give."""
 
 import datetime as dt
+import random
+from pathlib import Path
+
+import pytest
 
 from conftest import day, event, rows
 from tidelake.plans import backfill, bronze
@@ -56,53 +60,87 @@ def test_stream_equals_batch(spark, lake, raw, tmp_path):
         assert rows(read_gold(spark, lake)[table]) == rows(read_gold(spark, other)[table])
 
 
-def test_live_dedup_across_batches_and_late_rows(spark, tmp_path):
-    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    schema = "event_id string, event_type string, event_ts timestamp"
-    live.use_disk_state(spark)
-
-    def tick(*events):
-        data = [(i, "A", dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc)) for i, t in events]
-        spark.createDataFrame(data, schema).repartition(4).write.mode("append").parquet(source)
-        stream = live.dedup(spark.readStream.schema(schema).parquet(source))
-        live.append_available(stream, out, checkpoint)
-
-    tick(*[("hot", "2024-03-05 10:00")] * 400, ("a", "2024-03-05 10:01"))
-    assert rows(spark.read.parquet(out), "event_id") == [("a",), ("hot",)]
-    tick(("hot", "2024-03-05 10:00"), ("b", "2024-03-05 18:00"))
-    tick(("c", "2024-03-05 11:00"), ("d", "2024-03-05 13:00"))
-    # c is more than six hours behind b and is dropped, d is not
-    assert rows(spark.read.parquet(out), "event_id") == [("a",), ("b",), ("d",), ("hot",)]
-
-
-def test_live_counts_emit_open_windows(spark, tmp_path):
-    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    schema = "event_id string, event_type string, event_ts timestamp"
-
-    def tick(*times):
-        data = [(t, "A", dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc)) for t in times]
-        spark.createDataFrame(data, schema).write.mode("append").parquet(source)
-        live.update_available(
-            live.hourly_type_counts(spark.readStream.schema(schema).parquet(source)), out, checkpoint
-        )
-
-    tick("2024-03-05 10:00", "2024-03-05 10:59:59", "2024-03-05 11:00")
-    tick("2024-03-05 11:30")
-    counts = live.latest_counts(spark, out).selectExpr("cast(event_hour_ts AS string) AS h", "event_count")
-    assert rows(counts) == [("2024-03-05 10:00:00", 2), ("2024-03-05 11:00:00", 2)]
-
-
-def test_live_rebuild_keeps_late_rows_and_notes_them(spark, tmp_path):
-    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    schema = "event_id string, event_type string, event_ts timestamp"
-
-    def tick(*events):
-        data = [(i, "A", dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc)) for i, t in events]
-        spark.createDataFrame(data, schema).write.mode("append").parquet(source)
-        live.rebuild_available(spark.readStream.schema(schema).parquet(source), out, checkpoint)
-
-    tick(("a", "2024-03-05 10:01"), ("a", "2024-03-05 10:01"))
-    tick(("b", "2024-03-05 18:00"))
-    tick(("c", "2024-03-05 11:00"), ("d", "2024-03-05 13:00"), ("e", "2024-03-04 09:00"), ("a", "2024-03-05 10:01"))
-    assert rows(live.rebuilt(spark, out), "event_id") == [("a",), ("b",), ("c",), ("d",), ("e",)]
-    assert rows(spark.read.parquet(f"{out}/late_rows"), "event_id") == [("a",), ("c",), ("e",)]
+SCHEMA = "event_id string, event_type string, event_ts timestamp, ingest_ts string"
+
+
+@pytest.fixture
+def tick(spark, tmp_path):
+    """Appends rows (id, type, time, ingest) to a source, one file each call, and lets the stream take them."""
+
+    def run(*events, out="out"):
+        data = [(i, kind, dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc), at) for i, kind, t, at in events]
+        source = str(tmp_path / f"in-{out}")
+        spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+        live.take_available(stream, str(tmp_path / out), str(tmp_path / f"checkpoint-{out}"))
+        return str(tmp_path / out)
+
+    return run
+
+
+def kept(spark, out):
+    return rows(live.events(spark, out).selectExpr("event_id", "event_type", "string(event_ts)"))
+
+
+def counts(spark, out):
+    return rows(live.hourly_type_counts(spark, out).selectExpr("string(event_hour_ts)", "event_type", "event_count"))
+
+
+def test_live_keeps_late_rows_and_takes_counts_back(spark, tick):
+    out = tick(*[("hot", "A", "2024-03-05 10:01", "2")] * 40, ("a", "A", "2024-03-05 10:05", "2"))
+    assert counts(spark, out) == [("2024-03-05 10:00:00", "A", 2)]
+    tick(("b", "A", "2024-03-05 18:00", "2"), ("hot", "A", "2024-03-05 10:01", "2"))
+    # late rows; an earlier copy of one id on another day, with another type; a later copy of another id
+    tick(("c", "B", "2024-03-05 11:00", "3"), ("a", "B", "2024-03-04 09:00", "1"), ("b", "A", "2024-03-06 18:00", "4"))
+    expected = [("a", "B", "2024-03-04 09:00:00"), ("b", "A", "2024-03-05 18:00:00"), ("c", "B", "2024-03-05 11:00:00"), ("hot", "A", "2024-03-05 10:01:00")]
+    assert kept(spark, out) == expected
+    sums = [("2024-03-04 09:00:00", "B", 1), ("2024-03-05 10:00:00", "A", 1), ("2024-03-05 11:00:00", "B", 1), ("2024-03-05 18:00:00", "A", 1)]
+    assert counts(spark, out) == sums
+    late = spark.read.parquet(f"{out}/late_rows")
+    assert rows(late, "event_id") == [("a",), ("c",)]
+    # merging batches changes nothing, neither for readers nor for batches that follow or are repeated
+    assert live.fold(spark, out) == 2 == live.fold(spark, out)
+    assert kept(spark, out) == expected and counts(spark, out) == sums
+    live.land(spark.createDataFrame([("c", "B", dt.datetime(2024, 3, 5, 11), "3")], SCHEMA), 2, out)
+    tick(("c", "B", "2024-03-05 11:00", "3"), ("d", "A", "2024-03-05 18:30", "3"))
+    assert kept(spark, out) == [*expected[:3], ("d", "A", "2024-03-05 18:30:00"), expected[3]]
+    assert live.fold(spark, out) == 3
+    assert counts(spark, out) == [*sums[:3], ("2024-03-05 18:00:00", "A", 2)]
+
+
+def test_number_of_batches_does_not_matter(spark, tick):
+    rng = random.Random(6)
+    rows_ = [(str(rng.randrange(60)), rng.choice("AB"), f"2024-03-0{rng.randint(4, 6)} {rng.randrange(24):02d}:00", str(rng.randrange(5))) for _ in range(240)]
+    found = []
+    for n in (1, 3, 8):
+        for k in range(n):
+            out = tick(*rows_[k::n], out=f"out{n}")
+        found.append((kept(spark, out), counts(spark, out)))
+    assert found[0] == found[1] == found[2]
+    first = {}
+    for i, kind, t, at in rows_:
+        first[i] = min(first.get(i, (at, t, kind)), (at, t, kind))
+    assert [(i, kind, t[:16]) for i, kind, t in found[0][0]] == sorted((i, kind, t) for i, (_, t, kind) in first.items())
+
+
+def test_a_small_batch_writes_little(spark, tick):
+    out = tick(*[(f"{k:05d}", "A", "2024-03-05 10:00", "1") for k in range(5000)])
+    tick(("new", "A", "2024-03-05 10:00", "1"), ("00007", "A", "2024-03-05 10:00", "1"))
+
+    def size(batch):
+        return sum(f.stat().st_size for log in ("winners", "deltas") for f in Path(out, log, f"batch_id={batch}").rglob("*.parquet"))
+
+    assert size(1) < 0.1 * size(0)
+    assert not Path(out, "rows", "batch_id=1").exists()
+
+
+def test_a_repeated_batch_finds_the_same_late_rows(spark, lake, raw):
+    raw.write("2024-03-05-22", [event("new", created_at="2024-03-05T22:00:00Z")])
+    raw.write("2024-03-05-23", [event("late", created_at="2024-03-05T02:00:00Z")])
+    batches = [raw_source._with_origin(spark.read.text(str(raw.folder / f"2024-03-05-{h}.json.gz"))) for h in (22, 23)]
+    ingest._land(batches[0], 0, lake)
+    for _ in range(2):
+        ingest._land(batches[1], 1, lake)
+        assert rows(spark.read.parquet(lake.late_rows), "event_id") == [("late",)]
+    ingest._land(batches[0], 0, lake)  # gold is ahead by now; the batch is still not late
+    assert rows(spark.read.parquet(lake.late_rows), "event_id") == [("late",)]

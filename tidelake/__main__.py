@@ -39,7 +39,9 @@ def parser() -> argparse.ArgumentParser:
     sub = job("stream", "land every new raw file and refresh silver and gold")
     sub.add_argument("--raw", required=True)
     sub.add_argument("--checkpoint", required=True)
+    sub.add_argument("--max-files", type=int, default=64, help="raw files per batch")
     sub.add_argument("--every", help=f"keep running at this pace, for example '{ingest.TICK}'")
+    job("refresh", "carry landed hours, and what earlier runs left open, through silver and gold")
     job("silver", "take changed file dates into silver").add_argument("--date", type=day, required=True)
     job("gold", "recompute gold for an event day").add_argument("--date", type=day, required=True)
     sub = job("rebuild", "replay a range of event days from bronze")
@@ -67,9 +69,11 @@ def main(argv: list[str] | None = None) -> None:
         print(*dates)
     elif args.job == "stream":
         if args.every:
-            ingest.start(spark, lake, args.raw, args.checkpoint, every=args.every).awaitTermination()
+            ingest.start(spark, lake, args.raw, args.checkpoint, args.max_files, every=args.every).awaitTermination()
         else:
-            ingest.ingest_available(spark, lake, args.raw, args.checkpoint)
+            ingest.ingest_available(spark, lake, args.raw, args.checkpoint, args.max_files)
+    elif args.job == "refresh":
+        print(*backfill.refresh(spark, lake))
     elif args.job == "silver":
         print(*silver.process_dates(spark, lake, [args.date]))
     elif args.job == "gold":

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions import hour_of, is_bot, parse_ts
-from tidelake.operators.dedup import one_per_day
+from tidelake.operators.dedup import one_per_id
 from tidelake.schemas import QUARANTINE_SCHEMA, SILVER_COLUMNS
 
 MISSING_ID = "missing_event_id"
@@ -40,7 +40,7 @@ def valid_rows(typed_rows: DataFrame) -> DataFrame:
 
 def to_silver(bronze: DataFrame) -> DataFrame:
     """Valid, typed and de-duplicated rows in the silver column order."""
-    return one_per_day(valid_rows(typed(bronze))).select(*SILVER_COLUMNS)
+    return one_per_id(valid_rows(typed(bronze))).select(*SILVER_COLUMNS)
 
 
 def quarantined(bronze: DataFrame) -> DataFrame:
@@ -52,12 +52,11 @@ def quarantined(bronze: DataFrame) -> DataFrame:
 def accounting(bronze: DataFrame) -> DataFrame:
     """Where every bronze row of each file date went; the parts add up to ``bronze_rows``.
 
-    Ids are counted exactly per (event day, id) with partial aggregation, so copies of one id
-    collapse before the shuffle.
+    Ids are counted exactly with partial aggregation, so copies of one id collapse before the shuffle.
     """
-    rows = typed(bronze).select("event_id", "event_day", reject_reason().alias("reason"))
+    rows = typed(bronze).select("event_id", reject_reason().alias("reason"))
     per_id = (
-        rows.groupBy("reason", "event_day", F.when(F.col("reason").isNull(), F.col("event_id")).alias("event_id"))
+        rows.groupBy("reason", F.when(F.col("reason").isNull(), F.col("event_id")).alias("event_id"))
         .agg(F.count("*").alias("copies"))
     )
     kept = F.col("reason").isNull()

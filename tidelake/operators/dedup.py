@@ -34,12 +34,22 @@ def first_per_file(lines: DataFrame) -> DataFrame:
     return kept.drop("_own_group")
 
 
+def copy_order() -> list[Column]:
+    """Earliest ingest, then file name, then time of the event, then all columns."""
+    first = ["ingest_ts", "source_file", "created_at"]
+    rest = [c for c in BRONZE_COLUMNS if c not in ("event_id", *first)]
+    return [F.col(c).asc_nulls_last() for c in (*first, *rest)]
+
+
+def one_per_id(events: DataFrame) -> DataFrame:
+    """One row per event id, whatever days its copies name: the first under ``copy_order``."""
+    return keep_first(events, ["event_id"], copy_order())
+
+
 def one_per_day(events: DataFrame) -> DataFrame:
-    """One row per event id and event day: earliest ingest, then file name, then all columns.
+    """One row per event id and event day.
 
-    The day is part of the key, so filters on it reach below the window and a rebuild of many
-    days gives every day the same rows as a rebuild of that day alone.
+    The day is part of the key, so filters on it reach below the window. A rebuild of some days takes
+    these rows and leaves out those of which the id index knows an earlier copy on another day.
     """
-    tie_breaks = [c for c in BRONZE_COLUMNS if c not in ("event_id", "ingest_ts", "source_file")]
-    order = [F.col(c).asc_nulls_last() for c in ("ingest_ts", "source_file", *tie_breaks)]
-    return keep_first(events, ["event_id", "event_day"], order)
+    return keep_first(events, ["event_id", "event_day"], copy_order())

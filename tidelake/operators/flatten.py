@@ -103,6 +103,11 @@ def bad_lines(flat: DataFrame) -> DataFrame:
     )
 
 
+def stored_hours(bronze: DataFrame) -> DataFrame:
+    """Rows of every hour of stored bronze; both keys are folders, so no data column is read."""
+    return bronze.groupBy("date", "hour").agg(F.count("*").alias("rows"))
+
+
 def file_stats(flat: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows written, duplicates dropped and lines rejected per source file."""
     keys = ["source_file", "date", "hour"]

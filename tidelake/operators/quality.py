@@ -103,7 +103,7 @@ def require_non_empty(gold: Mapping[str, DataFrame]) -> None:
     """Publish gate: raises and names the gold tables without rows."""
     empty = [r["table_name"] for r in row_counts(gold).where(~F.col("passed")).collect()]
     if empty:
-        raise EmptyGoldTable(", ".join(sorted(f"{t} is empty" for t in empty)))
+        raise EmptyGoldTable("nothing to publish in " + ", ".join(sorted(empty)))
 
 
 def negative_counts(gold: Mapping[str, DataFrame]) -> DataFrame:
@@ -143,6 +143,22 @@ def missing_columns(df: DataFrame, required: StructType) -> list[str]:
     return [f.name for f in required.fields if have.get(f.name) != f.dataType]
 
 
+#: Names of stored types, by Spark's.
+STORED_TYPES = {"string": "string", "bigint": "int64"}
+
+
+def column_problems(stored: DataFrame, required: StructType) -> DataFrame:
+    """``date, hour, column, problem`` from rows (date, hour, path, column, type) of all files.
+
+    Every file is held against the required columns; files of an hour with the same fault are one row.
+    """
+    wanted = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(STORED_TYPES[f.dataType.simpleString()]).alias("wanted")) for f in required.fields])
+    have = stored.groupBy("date", "hour", "path").agg(F.map_from_entries(F.collect_list(F.struct("column", "type"))).alias("have"))
+    each = have.select("date", "hour", "have", F.explode(wanted).alias("w")).select("date", "hour", "w.*", F.col("have")[F.col("w.column")].alias("type"))
+    problem = F.when(F.col("type").isNull(), "missing").when(F.col("type") != F.col("wanted"), F.concat(F.col("type"), F.lit(" instead of "), F.col("wanted")))
+    return each.select("date", "hour", "column", problem.alias("problem")).where("problem IS NOT NULL").distinct()
+
+
 def totals_agree(daily: DataFrame, hourly: DataFrame, entity_name: str) -> DataFrame:
     """Days on which a daily table differs from the sum of its hourly table; empty when all agree."""
     e = ENTITIES[entity_name]

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.sql import SparkSession
 
 from tidelake.plans import gold, silver
+from tidelake.sources import intents
 from tidelake.sources.lake import Lake
 
 
@@ -17,14 +19,14 @@ def days_between(first: dt.date, last: dt.date) -> list[dt.date]:
 def rebuild(spark: SparkSession, lake: Lake, first: dt.date, last: dt.date) -> None:
     """Rebuild silver and gold for the event days ``first`` to ``last`` (both included)."""
     days = days_between(first, last)
-    silver.note_days(spark, lake, days)
-    silver.build_days(spark, lake, days)
-    silver.quarantine_dates(spark, lake, days)
-    gold.build_days(spark, lake, days)
+    intents.note(spark, lake, intents.SILVER, days)
+    refresh(spark, lake, days)
 
 
-def refresh(spark: SparkSession, lake: Lake, dates: list[dt.date]) -> list[dt.date]:
-    """Carry changed file dates through silver and gold; returns the event days rebuilt."""
-    days = silver.process_dates(spark, lake, dates)
-    gold.build_days(spark, lake, days)
-    return days
+def refresh(spark: SparkSession, lake: Lake, dates: Collection[dt.date] = ()) -> list[dt.date]:
+    """Carry changed file dates, and all that earlier runs left open, through silver and gold.
+
+    Returns the event days rebuilt in gold.
+    """
+    silver.process_dates(spark, lake, dates)
+    return gold.build_pending(spark, lake)

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import as_naive_utc
 from tidelake.operators.dedup import first_per_file
-from tidelake.operators.flatten import bad_lines, file_stats, flatten_lines, good_lines
+from tidelake.operators.flatten import bad_lines, file_stats, flatten_lines, good_lines, stored_hours
 from tidelake.schemas import BAD_LINE_SCHEMA, BRONZE_COLUMNS, BRONZE_TABLE_SCHEMA, LEDGER_SCHEMA
 from tidelake.session import configure
-from tidelake.sources import ledger, raw
+from tidelake.sources import intents, ledger, raw
 from tidelake.sources.lake import (
     ROWS_PER_FILE,
     Lake,
@@ -27,6 +27,7 @@ from tidelake.sources.lake import (
     read_bad_lines,
     read_bronze,
     read_ledger,
+    remove,
 )
 
 
@@ -42,8 +43,9 @@ def land_lines(lines: DataFrame, lake: Lake, ingest_at: dt.datetime, slot: str)
     """Land positioned lines; returns the file dates that changed.
 
     Safe to repeat: hours are overwritten as a whole and the ledger counts the newest entry. The
-    ledger is written last, so an hour that is listed there is complete. ``slot`` names the
-    staging area; one writer per slot.
+    ledger is written last, so an hour that is listed there is complete; that its date has to go
+    into silver is noted first, so it does even if nobody refreshes before a crash. ``slot`` names the
+    staging area, which is gone afterwards; one writer per slot.
     """
     spark = lines.sparkSession
     staged = flatten_lines(lines, ingest_at).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
@@ -57,7 +59,11 @@ def land_lines(lines: DataFrame, lake: Lake, ingest_at: dt.datetime, slot: str)
         .collect()
     )
     if not found:
+        remove(spark, lake.staging(slot))
         return []
+    hours = {(f["date"], f["hour"]) for f in found if f["date"]}
+    touched = sorted({date for date, _ in hours})
+    intents.note(spark, lake, intents.DATE, touched)
     rows = first_per_file(good_lines(flat)).select(*BRONZE_COLUMNS, "date", "hour")
     overwrite_partitions(rows, lake.bronze, ["date", "hour"])
     overwrite_partitions(bad_lines(flat), lake.bad_lines, ["source_file"])
@@ -66,13 +72,15 @@ def land_lines(lines: DataFrame, lake: Lake, ingest_at: dt.datetime, slot: str)
     for row in outdated.collect():
         clear_partition(spark, lake.bad_lines, BAD_LINE_SCHEMA, source_file=row["source_file"])
 
-    touched = sorted({f["date"] for f in found if f["date"]})
-    stored = read_bronze(spark, lake, touched)
-    for f in found:
-        here = (F.col("date") == F.lit(f["date"])) & (F.col("hour") == f["hour"])
-        if f["date"] and not f["good"] and not stored.where(here).isEmpty():
-            clear_partition(spark, lake.bronze, BRONZE_TABLE_SCHEMA, date=f["date"], hour=f["hour"])
-    _record(file_stats(flat, read_bronze(spark, lake, touched)), lake, ingest_at)
+    # Hours are folders, so which of them are stored is told without reading a data column; the counts
+    # read one column of the hours that were written.
+    known = {(r["date"], r["hour"]) for r in stored_hours(read_bronze(spark, lake, touched)).select("date", "hour").collect()}
+    good = {(f["date"], f["hour"]) for f in found if f["good"]}
+    for date, hour in (hours - good) & known:
+        clear_partition(spark, lake.bronze, BRONZE_TABLE_SCHEMA, date=date, hour=hour)
+    names = F.struct("date", "hour").isin([F.struct(F.lit(d).alias("date"), F.lit(h).alias("hour")) for d, h in sorted(hours)])
+    _record(file_stats(flat, read_bronze(spark, lake, touched).where(names)), lake, ingest_at)
+    remove(spark, lake.staging(slot))
     return touched
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import as_naive_utc
 from tidelake.operators import quality
-from tidelake.schemas import BRONZE_TABLE_SCHEMA
+from tidelake.operators.flatten import stored_hours
+from tidelake.schemas import BRONZE_SCHEMA
 from tidelake.session import configure
 from tidelake.sources import ledger, snapshot
 from tidelake.sources.lake import Lake, read_bronze, read_gold, read_ledger, read_silver
-from tidelake.sources.raw import hour_start
+from tidelake.sources.raw import hour_start, list_files
 
 
 def day_report(spark: SparkSession, lake: Lake, day: dt.date) -> DataFrame:
@@ -46,11 +47,53 @@ def missing_hours(
     return ledger.missing_hours(spine, read_ledger(spark, lake))
 
 
+def hour_completeness(spark: SparkSession, lake: Lake, raw_folder: str) -> DataFrame:
+    """File listing, ledger and stored rows side by side, per hour; stored rows come from file footers."""
+    stored = stored_hours(read_bronze(configure(spark), lake)).withColumn("hour_ts", hour_start())
+    return ledger.hour_completeness(list_files(spark, raw_folder), read_ledger(spark, lake), stored)
+
+
+def stored_columns(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Column names and types of every stored bronze file: ``date, hour, path, column, type``.
+
+    The files are listed by Spark; their footers are read on the executors, which must reach the lake's
+    store with pyarrow. No data page is read.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(lake.bronze)
+    keys = [F.regexp_extract("path", f"/{k}=([^/]+)/", 1).alias(k) for k in ("date", "hour")]
+    files = listed.select(*keys, "path").where("date <> '' AND hour <> ''")
+
+    def footers(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow.fs import FileSystem
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                scheme, _, place = row["path"].partition(":")
+                store, path = FileSystem.from_uri(f"{scheme}:///{place.lstrip('/')}" if scheme == "file" else row["path"])
+                with store.open_input_file(path) as file:
+                    fields = pq.read_schema(file)
+                names = pa.array(fields.names, pa.string())
+                same = [pa.array([row[k]] * len(names), pa.string()) for k in ("date", "hour", "path")]
+                types = pa.array([str(t) for t in fields.types], pa.string())
+                yield pa.RecordBatch.from_arrays([*same, names, types], names=["date", "hour", "path", "column", "type"])
+
+    found = files.mapInArrow(footers, "date string, hour string, path string, column string, type string")
+    return found.withColumn("date", F.col("date").cast("date"))
+
+
+def bronze_columns(spark: SparkSession, lake: Lake) -> DataFrame:
+    """What is wrong with the columns of stored hours: ``date, hour, column, problem``, no row if all is well.
+
+    A column is ``missing`` if any file of the hour lacks it; otherwise the problem names the stored type.
+    """
+    return quality.column_problems(stored_columns(configure(spark), lake), BRONZE_SCHEMA)
+
+
 def bronze_columns_missing(spark: SparkSession, lake: Lake) -> list[str]:
-    """Required columns the stored bronze files do not have in the required type."""
-    stored = spark.read.option("mergeSchema", True).parquet(lake.bronze).drop("date", "hour")
-    required = BRONZE_TABLE_SCHEMA.fields[:-2]
-    return quality.missing_columns(stored, type(BRONZE_TABLE_SCHEMA)(required))
+    """Required columns that some hour does not have in the required type."""
+    return sorted({r["column"] for r in bronze_columns(spark, lake).select("column").distinct().collect()})
 
 
 def _newest_day(df: DataFrame, day: str) -> DataFrame:

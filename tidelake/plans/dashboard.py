@@ -35,9 +35,11 @@ class NoHourlyData(RuntimeError):
 
 @dataclass(frozen=True)
 class TimeRange:
+    """Bounds as values, or as expressions that are known when the query runs."""
+
     preset: str
-    start: dt.datetime | None
-    end: dt.datetime
+    start: dt.datetime | Column | None
+    end: dt.datetime | Column
 
     @property
     def hourly(self) -> bool:
@@ -50,11 +52,9 @@ class TimeRange:
         """
         if self.start is None:
             return F.lit(True)
-        if not self.hourly:
-            return F.col("event_day").between(F.lit(self.start.date()), F.lit(self.end.date()))
+        days = F.col("event_day").between(F.to_date(_instant(self.start)), F.to_date(_instant(self.end)))
         hour = F.col("event_hour_ts")
-        within = (hour >= _instant(self.start)) & (hour < _instant(self.end))
-        return F.col("event_day").between(F.lit(self.start.date()), F.lit(self.end.date())) & within
+        return days & (hour >= _instant(self.start)) & (hour < _instant(self.end)) if self.hourly else days
 
     def stamp(self, rows: DataFrame) -> DataFrame:
         """Put the request envelope in front of the result columns."""
@@ -64,11 +64,15 @@ class TimeRange:
         )
 
 
-def _naive(value: dt.datetime) -> Column:
+def _naive(value: dt.datetime | Column) -> Column:
+    if isinstance(value, Column):
+        return naive_utc(value)
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _instant(value: dt.datetime) -> Column:
+def _instant(value: dt.datetime | Column) -> Column:
+    if isinstance(value, Column):
+        return value
     return F.lit(value.isoformat(sep=" ")).cast("timestamp")
 
 
@@ -100,9 +104,18 @@ def resolve_short_range_from_data(gold: Gold, preset: str) -> TimeRange:
 
 
 def resolve_range(gold: Gold, preset: str, as_of: dt.datetime | None = None) -> TimeRange:
-    if is_short_preset(preset):
-        return resolve_short_range_from_data(gold, preset)
-    return resolve_range_from_clock(preset, as_of)
+    """The range of any preset. Building it runs no job.
+
+    A short one ends at a scalar subquery for the newest hour; its days prune partitions when the query
+    runs, and a query on gold without any hour raises then.
+    """
+    if not is_short_preset(preset):
+        return resolve_range_from_clock(preset, as_of)
+    none = F.raise_error(F.lit("the hourly event types have no row to take the newest hour from")).cast("timestamp")
+    newest = gold["event_type_hourly"].agg(F.max("event_hour_ts").alias("newest")).select(F.coalesce("newest", none)).scalar()
+    end = newest + F.expr("INTERVAL 1 HOUR")
+    hours = int(SHORT_PRESETS[preset].total_seconds()) // 3600
+    return TimeRange(preset, end - F.expr(f"INTERVAL {hours} HOUR"), end)
 
 
 def preset_ranges(gold: Gold, as_of: dt.datetime) -> DataFrame:

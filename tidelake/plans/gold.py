@@ -12,12 +12,12 @@ from collections.abc import Collection
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidelake.operators.counts import daily_from_hourly, entity_from_cube, hourly_cube
 from tidelake.schemas import ENTITIES, Entity
 from tidelake.session import configure
-from tidelake.sources.lake import Lake, clear_days, overwrite_partitions, read_silver, side_by_side
+from tidelake.sources import intents
+from tidelake.sources.lake import Lake, clear_days, overwrite_partitions, read_silver, remove, side_by_side
 
 
 def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date]) -> None:
@@ -47,8 +47,13 @@ def build_days(spark: SparkSession, lake: Lake, days: Collection[dt.date]) -> No
         jobs.append(partial(write, e.hourly, e, hourly))
         jobs.append(partial(write, e.daily, e, daily_from_hourly(hourly, e)))
     side_by_side(jobs)
+    remove(spark, staged)
 
 
-def silver_days(spark: SparkSession, lake: Lake) -> list[dt.date]:
-    rows = read_silver(spark, lake).select("event_day").distinct().orderBy(F.col("event_day"))
-    return [r["event_day"] for r in rows.collect()]
+def build_pending(spark: SparkSession, lake: Lake) -> list[dt.date]:
+    """Recompute gold for the days noted for it; returns them."""
+    entries = intents.pending(spark, lake, intents.GOLD)
+    days = sorted(intents.days_of(entries))
+    build_days(spark, lake, days)
+    intents.tick_off(spark, lake, entries)
+    return days

@@ -33,6 +33,8 @@ class Lake:
     """Folder layout under one root (any file system Spark can write)."""
 
     root: str
+    #: Buckets of the id index, fixed when a lake is made.
+    id_buckets: int = 16
 
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
@@ -49,6 +51,18 @@ class Lake:
     def day_pairs(self) -> str:
         return self.path("silver", "day_pairs")
 
+    @property
+    def ids(self) -> str:
+        return self.path("silver", "ids")
+
+    @property
+    def intents(self) -> str:
+        return self.path("intents", "opened")
+
+    @property
+    def intents_done(self) -> str:
+        return self.path("intents", "done")
+
     @property
     def ledger(self) -> str:
         return self.path("ledger")
@@ -65,6 +79,10 @@ class Lake:
     def late_rows(self) -> str:
         return self.path("quarantine", "late_rows")
 
+    @property
+    def frontier(self) -> str:
+        return self.path("quarantine", "frontier")
+
     @property
     def snapshots(self) -> str:
         return self.path("snapshots")
@@ -86,17 +104,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _only(df: DataFrame, column: str, values: Iterable | None) -> DataFrame:
+def only(df: DataFrame, column: str, values: Iterable | None) -> DataFrame:
     return df if values is None else df.where(F.col(column).isin([F.lit(v) for v in sorted(values)]))
 
 
 def read_bronze(spark: SparkSession, lake: Lake, dates: Collection[dt.date] | None = None) -> DataFrame:
     """Bronze with ``date`` and ``hour`` from the path; ``dates`` prunes partitions."""
-    return _only(read_table(spark, lake.bronze, BRONZE_TABLE_SCHEMA), "date", dates)
+    return only(read_table(spark, lake.bronze, BRONZE_TABLE_SCHEMA), "date", dates)
 
 
 def read_silver(spark: SparkSession, lake: Lake, days: Collection[dt.date] | None = None) -> DataFrame:
-    return _only(read_table(spark, lake.silver, SILVER_SCHEMA), "event_day", days)
+    return only(read_table(spark, lake.silver, SILVER_SCHEMA), "event_day", days)
 
 
 def read_day_pairs(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -106,7 +124,7 @@ def read_day_pairs(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def read_gold(spark: SparkSession, lake: Lake, days: Collection[dt.date] | None = None) -> dict[str, DataFrame]:
     return {
-        t: _only(read_table(spark, lake.gold(t), e.schema(t)), "event_day", days) for t, e in GOLD_TABLES.items()
+        t: only(read_table(spark, lake.gold(t), e.schema(t)), "event_day", days) for t, e in GOLD_TABLES.items()
     }
 
 
@@ -152,11 +170,18 @@ def clear_partition(spark: SparkSession, path: str, schema: StructType, **partit
 
 def clear_days(spark: SparkSession, path: str, schema: StructType, days: Collection[dt.date]) -> None:
     """Empty the day partitions that exist among ``days``."""
-    stored = _only(read_table(spark, path, schema), "event_day", days).select("event_day").distinct()
+    stored = only(read_table(spark, path, schema), "event_day", days).select("event_day").distinct()
     for row in stored.collect():
         clear_partition(spark, path, schema, event_day=row["event_day"])
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, such as a run's staging."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def side_by_side(jobs: Iterable[Callable[[], None]], at_once: int = 4) -> None:
     """Submit independent small writes together, so they fill the cluster instead of queueing."""
     with ThreadPoolExecutor(at_once) as pool:

@@ -55,3 +55,26 @@ def latest_entries(ledger: DataFrame) -> DataFrame:
     others = [c for c in LEDGER_SCHEMA.fieldNames() if c not in ("hour_ts", "ingested_at")]
     newest = F.max(F.struct("ingested_at", *others)).alias("entry")
     return ledger.groupBy("hour_ts").agg(newest).select("hour_ts", "entry.*").select(*LEDGER_SCHEMA.fieldNames())
+
+
+def hour_completeness(files: DataFrame, ledger: DataFrame, stored: DataFrame) -> DataFrame:
+    """Every hour that a file, the ledger or stored bronze knows, and what is wrong with it.
+
+    ``files`` has hour_ts of listed files, ``ledger`` its entries (the newest of an hour counts), ``stored``
+    rows by hour_ts. All three are one row per hour before they meet. Columns: hour_ts, files, ledger_rows,
+    stored_rows, problem: ``not_landed`` (a file the ledger does not know), ``lost`` (rows in the ledger, none
+    stored), ``unrecorded`` (stored, not in the ledger), ``count_differs``, or NULL. A file that is gone after
+    its hour was landed is no problem.
+    """
+    listed = files.where(F.col("hour_ts").isNotNull()).groupBy("hour_ts").agg(F.count("*").alias("files"))
+    told = latest_entries(ledger).select("hour_ts", F.col("rows").alias("ledger_rows"))
+    held = stored.groupBy("hour_ts").agg(F.sum("rows").alias("stored_rows"))
+    all_hours = listed.join(told, "hour_ts", "full_outer").join(held, "hour_ts", "full_outer")
+    rows = F.coalesce("stored_rows", F.lit(0))
+    problem = (
+        F.when(F.col("ledger_rows").isNull() & (rows > 0), "unrecorded")
+        .when(F.col("ledger_rows").isNull(), "not_landed")
+        .when((F.col("ledger_rows") > 0) & (rows == 0), "lost")
+        .when(F.col("ledger_rows") != rows, "count_differs")
+    )
+    return all_hours.select("hour_ts", F.coalesce("files", F.lit(0)).alias("files"), "ledger_rows", rows.alias("stored_rows"), problem.alias("problem"))

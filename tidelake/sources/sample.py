@@ -2,7 +2,7 @@
 
 Input columns: ``event_id long, ts, user_id long, event_type string, value double, props string``.
 The mapping plants the conditions the lake must handle: missing ids, types and times, repeated
-events, bots in mixed case, unknown logins, organisations and repositories, rows that arrive in a
+events, ids with copies on two days, bots in mixed case, unknown logins, organisations and repositories, rows that arrive in a
 neighbouring day's file, and lines that are not events.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelake.schemas import BRONZE_COLUMNS
 
+EARLY_INGEST = "2024-01-31T18:00:00+00:00"
 FIRST_INGEST = "2024-02-01T00:00:00+00:00"
 SECOND_INGEST = "2024-02-01T06:00:00+00:00"
 
@@ -91,7 +92,7 @@ def _columns(copies: DataFrame) -> DataFrame:
             "repo_language"
         ),
         F.lit(None).cast("string").alias("repo_created_at"),
-        F.when(copy == 0, FIRST_INGEST).otherwise(SECOND_INGEST).alias("ingest_ts"),
+        F.when(copy == 0, FIRST_INGEST).when(n % 700 == 0, EARLY_INGEST).otherwise(SECOND_INGEST).alias("ingest_ts"),
         F.concat(
             F.date_format("file_ts", "yyyy-MM-dd"), F.lit("-"), F.hour("file_ts").cast("string"), F.lit(".json.gz")
         ).alias("source_file"),
@@ -101,9 +102,9 @@ def _columns(copies: DataFrame) -> DataFrame:
 
 
 def _copies(events: DataFrame) -> DataFrame:
-    """Every fiftieth event appears twice."""
+    """Every fiftieth event appears twice; every seventh of the second copies names the day after."""
     times = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return events.select(
+    copies = events.select(
         F.col("event_id").alias("src_id"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         "user_id",
@@ -111,6 +112,8 @@ def _copies(events: DataFrame) -> DataFrame:
         "props",
         F.explode(times).alias("copy"),
     )
+    other_day = (F.col("copy") == 1) & (F.col("src_id") % 350 == 0)
+    return copies.withColumn("ts", F.when(other_day, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts")))
 
 
 def bronze_rows(events: DataFrame) -> DataFrame:
