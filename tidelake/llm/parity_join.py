@@ -43,7 +43,7 @@ SKETCH_STEP = 16
 #: Sketch of a set in the table of sets, of 64 bits each; folded to four for the first comparison.
 SKETCH_LONGS = 32
 PARTS = [f"p{k}" for k in range(SKETCH_LONGS)]
-SETS = "doc_id long, n_shingles long, set1 long, set2 long, " + ", ".join(f"{p} long" for p in PARTS)
+SETS = "doc_id long, version long, n_shingles long, set1 long, set2 long, " + ", ".join(f"{p} long" for p in PARTS)
 #: Sets that a task remembers as sent, so copies of one text send their keys once.
 REMEMBERED = 200_000
 
@@ -75,8 +75,8 @@ def describe_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if len(grams):
                 out[:3, row] = len(grams), *digest(grams)
                 out[3:, row] = dense_sketch(grams, 64 * SKETCH_LONGS).view(np.int64)
-        names = ["doc_id", "n_shingles", "set1", "set2", *PARTS]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, out)], names=names)
+        names = ["doc_id", "version", "n_shingles", "set1", "set2", *PARTS]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), *map(pa.array, out)], names=names)
 
 
 def count_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +224,12 @@ def within_sketch(a: Column, b: Column) -> Column:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id. See ``grouped``."""
+    return grouped(docs).drop("version")
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, version (xxhash64 of the text, as text), n_shingles, component_id.
 
     Words are runs of anything but space and 0x09-0x0D, with A-Z in lower case; a set holds the distinct
     five-word shingles, or the whole sequence of a shorter text. Rows with equal sets are linked, and
@@ -234,7 +239,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeat a doc_id each go by their own text. Other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(map_arrow(texts, describe_sets, SETS))
+    sets = written(map_arrow(texts.withColumn("version", F.xxhash64("text")), describe_sets, SETS))
     classes = written(
         sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set1", "set2")
@@ -283,4 +288,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = member.where("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("least"))
     member = member.join(least, "group", "left").select("set1", "set2", F.coalesce("least", "id").alias("component_id"))
     alone = F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")))
-    return sets.join(member, ["set1", "set2"], "left").select("doc_id", "n_shingles", alone.alias("component_id"))
+    return sets.join(member, ["set1", "set2"], "left").select("doc_id", "version", "n_shingles", alone.alias("component_id"))
