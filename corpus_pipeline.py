@@ -33,14 +33,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group, and all documents in none.
 
-    Documents without an id stay; of rows that repeat both id and text one stays; rows of one id with
-    several texts go together if one of them belongs to a smaller id.
+    Documents without an id stay. Of rows that repeat both id and text one stays; of rows of one id with
+    several texts each goes or stays by its own text.
     """
-    groups = parity_join.near_duplicates(docs)
-    dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.select(*DOCUMENT).join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti")
+    docs = docs.select(*DOCUMENT).withColumn("_version", F.xxhash64("text"))
+    groups = parity_join.grouped(docs.select("doc_id", "text"))
+    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_doc"), F.col("version").alias("_gone")).distinct()
+    kept = docs.join(gone, (F.col("doc_id") == F.col("_doc")) & (F.col("_version") == F.col("_gone")), "left_anti")
     named = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(kept.where("doc_id IS NULL"))
+    return named.unionByName(kept.where("doc_id IS NULL")).select(*DOCUMENT)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
