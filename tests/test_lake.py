@@ -212,14 +212,15 @@ def test_publishing_writes_the_changed_days_alone(spark, lake, three_days, land)
     first = snapshot.publish(spark, lake)
     assert snapshot.publish(spark, lake) != first
     dates = land("2024-03-05-13", [event("more", created_at="2024-03-05T13:00:00Z")])
-    backfill.refresh(spark, lake, dates)
+    days = backfill.refresh(spark, lake, dates)  # a stray row of the fifth's files makes it two
+    assert days == [day("2024-03-05"), day("2024-03-06")]
     second = snapshot.publish(spark, lake)
     for table in GOLD_TABLES:
         written = sorted(p.name for p in Path(lake.snapshots, "data", table, f"version={second}").glob("event_day=*"))
-        assert written == ["event_day=2024-03-05"]
+        assert written == [f"event_day={d}" for d in days]
     totals = [dashboard.summary(snapshot.open_snapshot(spark, lake, s), "max", as_of=AT).first()["total_events"] for s in (first, second)]
     assert totals == [3 * 91, 3 * 91 + 1]
-    assert snapshot.expire(spark, lake, keep=1) == len(GOLD_TABLES)
+    assert snapshot.expire(spark, lake, keep=1) == 2 * len(GOLD_TABLES)
     assert rows(snapshot.open_current(spark, lake)["event_type_daily"]) == rows(read_gold(spark, lake)["event_type_daily"])
     assert not Path(lake.snapshots, "data", "event_type_daily", f"version={first}", "event_day=2024-03-05").exists()
 
