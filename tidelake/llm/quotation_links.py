@@ -1,28 +1,32 @@
 """Quotation linking: who answers whom, found by what is quoted, and conversations without the quotes.
 
 A line's quote level is the number of ``>`` before its body. Runs of lines of one level are passages;
-those of level 0 are the author's own text. Quoted passages, and their single lines, are normalised (A-Z
-in lower case, white space collapsed) and hashed, and joined to the own text of messages of the same
-conversation: whole, by paragraph and by line. The original of a passage is the first message that holds
-it, so the join finds at most one row; it must come before the message that quotes it. Of several
-originals a message answers that of the lowest quote level, then of the longest passage, then the latest.
+those of level 0 are the author's own text. Quoted passages, and their single lines and sentences, are
+normalised (A-Z in lower case, white space collapsed) and hashed, and joined to the own text of messages
+of the same conversation: whole, by paragraph, by line and by sentence, however short. The original of a
+passage is the first message that holds it, so the join finds at most one row; it must come before the
+message that quotes it. Of several originals a message answers that of the lowest quote level, then of
+the longest passage, then the latest.
 
 Messages that answer nothing found begin a thread. A conversation is ordered by thread, then turn, so
-every answer comes after what it answers; it is cut into parts by blocks of turns, which bounds a row
-however long the conversation is.
+every answer comes after what it answers; it is cut into parts by blocks of threads and turns. A block
+of more than ``PART_MESSAGES`` messages (many texts on one turn, or rows without conversation or turn) is
+cut by turn and, inside a turn, by hash, which bounds a row however long the conversation is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.tables import written
 
-LEAST_WORDS = 3
 PART_TURNS = 128
+PART_MESSAGES = 1024
 
 MARKS = r"^([ \t]*>)+"
+#: A sentence ends with one of these and a space after it.
+SENTENCE_END = "(?<=[.!?]) "
 
 
 def normal(text: Column) -> Column:
@@ -30,15 +34,17 @@ def normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(folded, r"\s+", " "))
 
 
-def n_words(normalised: Column) -> Column:
-    return F.when(normalised == "", 0).otherwise(F.size(F.split(normalised, " ")))
+def sentences(normalised: Column) -> Column:
+    return F.split(normalised, SENTENCE_END)
 
 
 def with_passages(messages: DataFrame) -> DataFrame:
     """``messages`` with own (own text), and quoted (array of level and lines)."""
-    level = "length(regexp_extract(line, r'{0}', 0)) - length(replace(regexp_extract(line, r'{0}', 0), '>', ''))".format(MARKS)
-    body = f"CASE WHEN {level} = 0 THEN line ELSE trim(BOTH FROM regexp_replace(line, r'{MARKS}', '')) END"
-    lines = f"transform(split(regexp_replace(text, '\\r\\n?', '\\n'), '\\n'), line -> named_struct('level', {level}, 'body', {body}))"
+    marked = f"transform(split(regexp_replace(text, '\\r\\n?', '\\n'), '\\n'), line -> named_struct('line', line, 'marks', IF(contains(line, '>'), regexp_extract(line, r'{MARKS}', 0), '')))"
+    lines = (
+        f"transform({marked}, x -> named_struct('level', length(x.marks) - length(replace(x.marks, '>', '')), "
+        "'body', IF(x.marks = '', x.line, trim(BOTH FROM substr(x.line, length(x.marks) + 1)))))"
+    )
     parsed = messages.withColumn("_lines", F.expr(lines)).withColumn(
         "_starts", F.expr("filter(transform(_lines, (x, i) -> IF(i = 0 OR _lines[i - 1].level <> x.level, i, -1)), i -> i >= 0)")
     )
@@ -53,20 +59,27 @@ def with_passages(messages: DataFrame) -> DataFrame:
     return runs.select(*messages.columns, F.expr(own).alias("own"), F.expr("filter(_runs, r -> r.level > 0)").alias("quoted"))
 
 
+def digest(normalised: str) -> Column:
+    return F.md5(F.col(normalised).cast("binary"))
+
+
 def originals(parsed: DataFrame) -> DataFrame:
-    """(conv_id, passage, source): the first turn whose own text holds a passage, whole, as paragraph or line."""
-    pieces = F.array_distinct(F.concat(F.array("own"), F.split("own", r"\n[ \t]*\n"), F.split("own", "\n")))
-    each = parsed.where("own IS NOT NULL").select("conv_id", "turn", normal(F.col("own")).alias("whole"), F.explode(pieces).alias("piece"))
-    each = each.withColumn("piece", normal(F.col("piece"))).where((F.col("piece") != "") & ((n_words(F.col("piece")) >= LEAST_WORDS) | (F.col("piece") == F.col("whole"))))
-    return each.groupBy("conv_id", F.md5(F.col("piece").cast("binary")).alias("passage")).agg(F.min("turn").alias("source"))
+    """(conv_id, passage, source): the first turn whose own text holds a passage, as text, paragraph, line or sentence."""
+    blocks = F.concat(F.array("own"), F.split("own", r"\n[ \t]*\n"), F.split("own", "\n"))
+    each = parsed.where("own IS NOT NULL").select("conv_id", "turn", F.transform(blocks, normal).alias("blocks"))
+    pieces = F.array_distinct(F.concat("blocks", F.flatten(F.transform("blocks", sentences))))
+    each = each.select("conv_id", "turn", F.explode(pieces).alias("piece")).where("piece <> ''")
+    return each.groupBy("conv_id", digest("piece").alias("passage")).agg(F.min("turn").alias("source"))
 
 
 def quotations(parsed: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, passage, chars) of all quoted passages and, of longer ones, their lines."""
+    """(conv_id, turn, level, passage, chars) of all quoted passages, their lines and their sentences."""
     runs = parsed.select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.level", "q.lines")
-    texts = F.concat(F.array(F.array_join("lines", "\n")), F.when(F.size("lines") > 1, F.col("lines")).otherwise(F.array().cast("array<string>")))
-    each = runs.select("conv_id", "turn", "level", F.explode(texts).alias("text")).withColumn("text", normal(F.col("text"))).where("text <> ''")
-    return each.select("conv_id", "turn", "level", F.md5(F.col("text").cast("binary")).alias("passage"), F.char_length("text").alias("chars"))
+    texts = F.transform(F.concat(F.array(F.array_join("lines", "\n")), F.col("lines")), normal)
+    each = runs.select("conv_id", "turn", "level", texts.alias("texts"))
+    pieces = F.array_distinct(F.concat("texts", F.flatten(F.transform("texts", sentences))))
+    each = each.select("conv_id", "turn", "level", F.explode(pieces).alias("text")).where("text <> ''")
+    return each.select("conv_id", "turn", "level", digest("text").alias("passage"), F.char_length("text").alias("chars"))
 
 
 def reply_links(parsed: DataFrame) -> DataFrame:
@@ -99,7 +112,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     are linked with nothing; a NULL turn is its own thread, NULL. Other columns are ignored.
     """
     rows = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"))
-    parsed = with_passages(rows.dropDuplicates())
+    parsed = written(with_passages(rows.dropDuplicates()))
     links = written(reply_links(parsed))
     chains = threads(links).join(links, ["conv_id", "turn"])
     told = parsed.join(chains, ["conv_id", "turn"], "left")
@@ -109,14 +122,32 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     )
 
 
+def part_keys(linked: DataFrame) -> DataFrame:
+    """``linked`` with thread_block, turn_block, and, in blocks of too many messages, part_turn and part."""
+    block = {name: F.floor(F.coalesce(c, F.lit(-1)) / PART_TURNS) for c, name in (("thread", "thread_block"), ("turn", "turn_block"))}
+    linked = linked.withColumns(block)
+    keys = ["conv_id", "thread_block", "turn_block", "turn"]
+    # One row a turn, and a block has few turns, so this window is small for any conversation.
+    turns = linked.groupBy(*keys).agg(F.count("*").alias("_in_turn"))
+    whole = F.sum("_in_turn").over(Window.partitionBy(*keys[:3]))
+    large = written(turns.withColumn("_in_block", whole).where(F.col("_in_block") > PART_MESSAGES).drop("_in_block"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    joined = linked.alias("a").join(large.alias("b"), same, "left").select("a.*", "_in_turn")
+    lanes = F.ceil(F.col("_in_turn") / PART_MESSAGES)
+    lane = F.pmod(F.xxhash64("role", "text", "reply_to", "n_quoted"), lanes)
+    return joined.withColumns({"part_turn": F.when(F.col("_in_turn").isNotNull(), F.col("turn")), "part": F.coalesce(lane, F.lit(0))}).drop("_in_turn")
+
+
 def conversations(messages: DataFrame) -> DataFrame:
     """Reply-ordered conversations: one row per conversation and part, with its messages in order.
 
-    A part holds the messages of one block of 128 thread beginnings and one block of 128 turns; parts in the
-    order of (thread_block, turn_block), and messages inside, keep every answer after its original.
+    A part holds the messages of one block of 128 thread beginnings and one block of 128 turns; in blocks of
+    more than ``PART_MESSAGES`` messages, those of one turn, dealt over numbered parts of about that size.
+    Parts in the order of (thread_block, turn_block, part_turn, part), and messages inside, keep every answer
+    after its original.
     """
-    linked = link_quotations(messages)
-    block = [F.floor(F.coalesce(c, F.lit(-1)) / PART_TURNS).alias(name) for c, name in (("thread", "thread_block"), ("turn", "turn_block"))]
+    linked = part_keys(link_quotations(messages))
     message = F.struct("thread", "turn", "reply_to", "depth", "role", "text")
-    parts = linked.groupBy("conv_id", *block).agg(F.sort_array(F.collect_list(message)).alias("messages"), F.count("reply_to").alias("n_links"))
-    return parts.select("conv_id", "thread_block", "turn_block", F.size("messages").alias("n_messages"), "n_links", "messages")
+    keys = ["conv_id", "thread_block", "turn_block", "part_turn", "part"]
+    parts = linked.groupBy(*keys).agg(F.sort_array(F.collect_list(message)).alias("messages"), F.count("reply_to").alias("n_links"))
+    return parts.select(*keys, F.size("messages").alias("n_messages"), "n_links", "messages")
