@@ -141,6 +141,28 @@ def majority(sums: list[np.ndarray], n: np.ndarray | int) -> np.ndarray:
     return out
 
 
+#: The four bits of half a byte, one in each 16 bits of a 64-bit value.
+_spread = ((np.arange(16, dtype=U64)[:, None] >> np.arange(4, dtype=U64)) & U64(1)) << (np.arange(4, dtype=U64) * U64(16))
+WIDE_LANES = np.bitwise_or.reduce(_spread, axis=1)
+WIDE_TOP_BITS = U64(0x8000800080008000)
+WIDE_ONES = U64(0x0001000100010001)
+MOST_WORDS_WIDE = 65_535
+
+
+def wide_lanes(hashes: np.ndarray) -> list[np.ndarray]:
+    """Sixteen arrays whose 16-bit parts hold the 64 bits of every hash: sums of up to 65,535 fit in them."""
+    return [WIDE_LANES[((hashes >> U64(4 * k)) & U64(15)).astype(np.uint8)] for k in range(16)]
+
+
+def wide_majority(sums: list[np.ndarray], n: int) -> np.ndarray:
+    """As ``majority``, of up to 65,535 hashes from the sums of their wide lanes."""
+    half = (U64(32_767) - (U64(n) >> U64(1))) * WIDE_ONES
+    out = np.zeros(len(sums[0]), dtype=U64)
+    for k, lane in enumerate(sums):
+        out |= ((lane + half) & WIDE_TOP_BITS) >> U64(k)
+    return out
+
+
 def as_long(values: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's signed long."""
     return np.ascontiguousarray(values).view(np.int64)
