@@ -281,7 +281,7 @@ def test_language_by_shared_strings(spark):
 
 
 def test_licences_by_canonical_digest(spark):
-    mit = license_scan.TEXTS[0][1]
+    mit = license_scan.MIT
     dressed = "Copyright (c) 2020 Someone\n\n" + mit.replace(",", " ;").upper().replace("SUBLICENSE", "sub-licence")
     texts = [(1, mit), (2, dressed), (3, mit + " and more"), (4, "// released under the MIT LICENCE\ncode\nReleased under the MIT License."), (5, None), (6, ""), (1, mit)]
     docs = frame(spark, texts).withColumn("license", F.lit("clash"))
