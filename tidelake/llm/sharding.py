@@ -8,6 +8,7 @@ shorter prefixes are sums of those; only cells that are still too large are look
 
 Rows of one hash can't be split by bits. If they exceed the limit together they are dealt over numbered
 pages (overflow pages), each within the limit. A single row larger than the limit has a page of its own.
+``write_shards`` then moves the rows: one folder a shard and page.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.tables import written
+from tidelake.llm.tables import shared_folder, written
 
 SHARD_BYTES = 32 << 20
 HASH_BITS = 60
@@ -80,6 +81,21 @@ def assign_shards(rows: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id"
     return whole.select(*names).unionByName(paged(placed.where("_over"), limit).select(*names))
 
 
+def write_shards(rows: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id", size: Column | None = None, path: str | None = None) -> DataFrame:
+    """Writes whole rows as Parquet in ``path`` (by default a new shared folder), and returns them as they were written.
+
+    A shard and page is the folder ``shard=<bits>/page=<n>`` with its rows in one file (``_`` stands for the empty
+    prefix). Rows of one shard and page meet in one task, which holds at most ``limit`` bytes of each. Columns as those
+    of ``assign_shards``.
+    """
+    placed = assign_shards(rows, limit, key, size)
+    path = path or shared_folder(rows.sparkSession)
+    named = placed.withColumn("shard", F.when(F.col("shard") == "", "_").otherwise(F.col("shard")))
+    named.repartition("shard", "page").write.partitionBy("shard", "page").parquet(path)
+    stored = rows.sparkSession.read.schema(placed.schema).parquet(path)
+    return stored.withColumn("shard", F.when(F.col("shard") == "_", "").otherwise(F.col("shard"))).select(*placed.columns)
+
+
 def paged(rows: DataFrame, limit: int) -> DataFrame:
     """Rows of hashes that exceed the limit, dealt over pages within it.
 
