@@ -383,6 +383,22 @@ SELECT {_time}, event_type, event_count,
   CASE WHEN p > 0 THEN round(100.0::DOUBLE * (event_count - p) / p, 6) END AS pct_change FROM lagged"""
     )
 
+for _query, _time, _step, _type in (
+    ("repo_dod_change", "event_day", "DAY", "DATE"),
+    ("repo_hoh_change", "event_hour_ts", "HOUR", "TIMESTAMP"),
+):
+    # Every count with the next bucket's zero beside it: where both meet, the count stays.
+    ORACLE[_query] = _silver(
+        f"""SELECT {_time}, repo_name, CAST(sum(n) AS BIGINT) AS event_count,
+  CASE WHEN sum(p) > 0 THEN round(100.0::DOUBLE * (sum(n) - sum(p)) / sum(p), 6) END AS pct_change
+FROM (SELECT {_time}, repo_name, n, 0 AS p FROM counted
+  UNION ALL SELECT CAST({_time} + INTERVAL 1 {_step} AS {_type}), repo_name, 0, n FROM counted)
+WHERE {_time} <= (SELECT max({_time}) FROM counted) GROUP BY ALL""".replace(
+            "FROM counted",
+            f"FROM (SELECT {_time}, repo_name, count(*) AS n FROM silver WHERE repo_name IS NOT NULL GROUP BY ALL)",
+        )
+    )
+
 # preset -> (hourly?, start, end); short presets are anchored on the newest hour in the data
 _HI = "(SELECT max(event_hour_ts) + INTERVAL 1 HOUR FROM event_type_hourly)"
 PRESETS = {

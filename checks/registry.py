@@ -451,6 +451,19 @@ def _(spark, folder):
     )
 
 
+@query("repo_dod_change")
+def _(spark, folder):
+    rows = silver(spark, folder).where("repo_name IS NOT NULL")
+    return metrics.day_over_day_runs(rows.groupBy("event_day", "repo_name").agg(F.count("*").alias("event_count")), "repo_name", "event_count")
+
+
+@query("repo_hoh_change")
+def _(spark, folder):
+    rows = silver(spark, folder).where("repo_name IS NOT NULL")
+    counts = rows.groupBy("event_hour_ts", "repo_name").agg(F.count("*").alias("event_count"))
+    return naive_hours(metrics.hour_over_hour_runs(counts, "repo_name", "event_count"))
+
+
 @query("push_pr_ratio")
 def _(spark, folder):
     return metrics.push_pr_ratio(gold(spark, folder)["event_type_daily"])

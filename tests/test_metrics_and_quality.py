@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -57,6 +58,24 @@ def test_hour_over_hour_crosses_midnight(spark):
     ]
 
 
+def test_change_by_runs_is_the_dense_form_without_empty_pairs(spark):
+    rng = random.Random(3)
+    data = [(day(f"2024-01-{d:02d}"), f"k{k}", rng.randint(0, 5)) for k in range(30) for d in range(1, 29) if rng.random() < 0.05 * (k % 20)]
+    counts = spark.createDataFrame(data, DAYS)
+    dense = {(r.event_day, r.event_type): (r.event_count, r.pct_change) for r in metrics.day_over_day(counts, "event_type", "event_count").collect()}
+    runs = metrics.day_over_day_runs(counts, "event_type", "event_count").collect()
+    kept = {k: v for k, v in dense.items() if v[0] or v[1] is not None}
+    assert {(r.event_day, r.event_type): (r.event_count, r.pct_change) for r in runs} == kept
+    assert len(runs) == len(kept) <= 2 * len(data)
+    assert metrics.day_over_day_runs(counts.limit(0), "event_type", "event_count").count() == 0
+
+
+def test_hourly_change_by_runs(spark):
+    data = [(day("2024-01-01"), ts("2024-01-01 23:00"), "A", 8), (day("2024-01-02"), ts("2024-01-02 00:00"), "A", 2), (day("2024-01-02"), ts("2024-01-02 05:00"), "B", 1)]
+    got = metrics.hour_over_hour_runs(spark.createDataFrame(data, HOURS), "event_type", "event_count")
+    assert rows(got, "event_type", "event_count", "pct_change") == [("A", 0, -100.0), ("A", 2, -75.0), ("A", 8, None), ("B", 1, None)]
+
+
 def test_change_needs_one_shuffle_of_the_counts(daily):
     plan = metrics.day_over_day(daily, "event_type", "event_count")._jdf.queryExecution().executedPlan().toString()
     # the global bounds are aggregates to one row; only the windows move the counts

@@ -91,6 +91,42 @@ def hour_over_hour(hourly: DataFrame, key: str, metric: str) -> DataFrame:
     return _change(hourly.select("event_hour_ts", key, metric), key, "event_hour_ts", metric, ONE_HOUR)
 
 
+def _runs_change(counts: DataFrame, key: str, time_key: str, metric: str, step: str) -> DataFrame:
+    """``_change`` without its rows in which neither the bucket nor the one before counted anything.
+
+    Each row looks at its neighbours only: a missing bucket before it counts as 0, and where a run of
+    buckets ends one row with 0 follows, unless that is beyond the last bucket of all. So the output is at
+    most twice the counts, however many keys there are and however seldom they occur.
+    """
+    bounds = counts.agg(F.min(time_key).alias("lo"), F.max(time_key).alias("hi"))
+    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    window = Window.partitionBy(key).orderBy(time_key)
+    kind = counts.schema[time_key].dataType
+    bucket, one, zero = F.col(time_key), F.expr(step), F.lit(0).cast(counts.schema[metric].dataType)
+    after = (bucket + one).cast(kind)
+    adjoins = F.lag(time_key).over(window) == (bucket - one).cast(kind)
+    before = F.when(bucket == lo, None).otherwise(F.when(adjoins, F.lag(metric).over(window)).otherwise(zero))
+    ends = F.coalesce(F.lead(time_key).over(window) > after, F.lit(True)) & (after <= hi)
+    own = F.struct(bucket.alias("at"), F.col(metric).alias("value"), before.alias("previous"))
+    end = F.struct(after.alias("at"), zero.alias("value"), F.col(metric).alias("previous"))
+    rows = counts.select(key, F.when(ends, F.array(own, end)).otherwise(F.array(own)).alias("_rows"))
+    each = rows.select(key, F.explode("_rows").alias("r")).where("r.value > 0 OR r.previous > 0")
+    return each.select(
+        F.col("r.at").alias(time_key), key, F.col("r.value").alias(metric),
+        percent_change(F.col("r.value"), F.col("r.previous")).alias("pct_change"),
+    )
+
+
+def day_over_day_runs(daily: DataFrame, key: str, metric: str) -> DataFrame:
+    """Day-over-day change for keys with many values: only days that counted something, or whose day before did."""
+    return _runs_change(daily.select("event_day", key, metric), key, "event_day", metric, ONE_DAY)
+
+
+def hour_over_hour_runs(hourly: DataFrame, key: str, metric: str) -> DataFrame:
+    """Hour-over-hour change for keys with many values: only hours that counted something, or whose hour before did."""
+    return _runs_change(hourly.select("event_hour_ts", key, metric), key, "event_hour_ts", metric, ONE_HOUR)
+
+
 def push_pr_ratio(daily_types: DataFrame) -> DataFrame:
     """Pushes per pull request and day, from the daily type counts; NULL without pull requests."""
 
