@@ -13,9 +13,10 @@ overlap need an edit each. A line of n words may differ from a similar one in n
 triples, in an order that holds for all lines, up to the one that makes n / 9 + 1 of them free of overlaps. If
 two lines sent no triple in common, the one whose last triple comes first would have lost all it sent, by
 more edits than similar lines differ in. Triples that many lines hold come last in the order, so a passage in
-many otherwise different lines is seldom a key; the order changes the work, never the result. Candidates are
-pruned by length and by parity sketches of their words, whose distance is at most twice the edits, before the
-edits are counted. Lines of fewer than nine words can only be similar to equal ones and send no keys.
+many otherwise different lines is seldom a key; the order changes the work, never the result. All
+pairs of up to ``SMALL`` lines that share a triple are candidates; larger sets go by ``linking.linked_groups``.
+Candidates are pruned by length and by parity sketches of their words, whose distance is at most twice the edits,
+where keys meet; the closest pair of each line is verified first, then those of different groups. Lines of fewer than nine words can only be similar to equal ones and send no keys.
 
 Of every connected group the first occurrence stays, by doc_id, then position.
 """
@@ -30,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.linking import distinct_sets, linked_groups, shared_buckets
-from tidelake.llm.tables import discard, map_arrow, written
+from tidelake.llm.linking import components, distinct_sets, linked_groups, shared_buckets, with_component
+from tidelake.llm.tables import discard, map_arrow, release_shuffles, written
 from tidelake.llm.textkit import MOST_WORDS, PLAIN, STEP, U64, Words, as_long, bit_lanes, majority, mix, slices, windows
 
 SIMHASHES = 3
@@ -45,6 +46,16 @@ FEWEST_WORDS = 9
 GRAM = 3
 COMMON_GRAMS = 20_000
 SKETCH_LONGS = 16
+#: Sketch that goes with a key: one long, and as many as this for lines of more than ``SHORT`` words.
+KEY_LONGS = 4
+SHORT = 128
+#: Keys have so many bits, the lowest of which tells triples from SimHash blocks; the line's words come above them.
+KEY_BITS = 40
+KEY_WORDS = (1 << 63 - KEY_BITS) - 1
+SMALL = 32
+NEXT = 16
+#: Rows that a task takes at once where keys meet.
+MEET_ROWS = 1 << 16
 SMALL_SIDE_ROWS = 500_000
 
 _digits = np.arange(256)
@@ -87,11 +98,19 @@ class Lines:
         parts = mix(mix(self.hashes + mix(at.astype(U64) ^ STEP)))
         return mix(np.bitwise_xor.reduceat(parts, self.bounds[:-1][self.with_words]) ^ self.n[self.with_words].astype(U64))
 
-    def flips(self) -> np.ndarray:
-        """A parity sketch of 64 bits of every line with words: every word flips one."""
+    def flips(self) -> list[np.ndarray]:
+        """A parity sketch of every line with words, of ``KEY_LONGS`` longs: every word flips one bit.
+
+        Short lines have it folded into the first long.
+        """
         if not len(self.hashes):
-            return self.hashes
-        return np.bitwise_xor.reduceat(U64(1) << (self.hashes & U64(63)), self.bounds[:-1][self.with_words])
+            return [self.hashes] * KEY_LONGS
+        starts, bits = self.bounds[:-1][self.with_words], U64(1) << (self.hashes & U64(63))
+        part = (self.hashes >> U64(6)) % U64(KEY_LONGS)
+        flips = [np.bitwise_xor.reduceat(np.where(part == U64(k), bits, U64(0)), starts) for k in range(KEY_LONGS)]
+        short = self.n[self.with_words] <= SHORT
+        folded = [np.where(short, np.bitwise_xor.reduce(flips), flips[0])]
+        return folded + [np.where(short, U64(0), x) for x in flips[1:]]
 
     def simhashes(self, variant: int = 0) -> np.ndarray:
         """The SimHash over all words of every line with words; variants hash the words anew."""
@@ -129,9 +148,10 @@ def blocks_of(lines: Lines, senders: np.ndarray) -> tuple[np.ndarray, np.ndarray
     n, at = lines.n[senders], np.searchsorted(lines.with_words, senders)
     own = bands(n)
     keys, owners = [], []
+    prints_of = [lines.simhashes(variant)[at] for variant in range(SIMHASHES)]
     for band, rows in ((own, np.arange(len(n))), (own + 1, np.flatnonzero(bands(longest_partner(n)) > own))):
         for variant in range(SIMHASHES):
-            prints = lines.simhashes(variant)[at][rows]
+            prints = prints_of[variant][rows]
             for block in range(BLOCKS):
                 part = (prints >> U64(16 * block)) & U64(0xFFFF)
                 keys.append(mix(part | U64(block << 16 | variant << 20) | (band[rows].astype(U64) << U64(32)) | U64(1 << 63)))
@@ -147,7 +167,7 @@ def longest_partner(n: np.ndarray) -> np.ndarray:
     return np.floor(n / SIMILAR + 1e-9)
 
 
-LINES = "doc_id long, version long, line_no int, line long, check long, n int, flips long"
+LINES = "doc_id long, version long, line_no int, line long, check long"
 
 
 def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,9 +178,9 @@ def describe_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows = pa.array(lines.text[used] + at)
             columns = [
                 batch.column("doc_id").take(rows), batch.column("version").take(rows), pa.array(lines.number[used].astype(np.int32)),
-                pa.array(as_long(lines.keys())), pa.array(as_long(lines.checks())), pa.array(lines.n[used].astype(np.int32)), pa.array(as_long(lines.flips())),
+                pa.array(as_long(lines.keys())), pa.array(as_long(lines.checks())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line", "check", "n", "flips"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "line_no", "line", "check"])
 
 
 def count_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,14 +193,28 @@ def count_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(as_long(grams[often])), pa.array(counts[often])], names=["gram", "n"])
 
 
+def by_owner(grams: np.ndarray, is_common: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The order by owner, then the common ones last, then hash."""
+    if len(owner) and owner[-1] < 1 << 16:
+        short = owner.astype(U64) << U64(48) | is_common.astype(U64) << U64(47) | grams >> U64(17)
+        order = np.argsort(short, kind="stable")
+        short, sorted_grams = short[order], grams[order]
+        if not ((short[1:] == short[:-1]) & (sorted_grams[1:] != sorted_grams[:-1])).any():
+            return order
+    return np.lexsort((grams, is_common, owner))
+
+
 def sent(lines: Lines, senders: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The triples that lines send as keys, and the number of the line (within ``senders``) of each.
 
     ``common`` has the sorted triples that come last in the order.
     """
     grams, place, owner = lines.grams(senders)
-    is_common = np.isin(grams, common)
-    order = np.lexsort((grams, is_common, owner))
+    top = np.zeros(1 << 20, dtype=bool)
+    top[common >> U64(44)] = True
+    is_common = top[grams >> U64(44)]
+    is_common[is_common] = np.isin(grams[is_common], common)
+    order = by_owner(grams, is_common, owner)
     places, edges = place[order].tolist(), np.searchsorted(owner, np.arange(len(senders) + 1)).tolist()
     needed = (np.floor(lines.n[senders] * (1 - SIMILAR) / SIMILAR + 1e-9).astype(int) + 1).tolist()
     free, overlapped = bytearray(b"\1") * (len(lines.hashes) + 2 * GRAM), bytes(2 * GRAM - 1)
@@ -199,8 +233,13 @@ def sent(lines: Lines, senders: np.ndarray, common: np.ndarray) -> tuple[np.ndar
     return grams[taken], owner[taken]
 
 
-def keys_of(common: np.ndarray):
-    """The keys of every line that sends some, from both sources."""
+FLIPS = [f"f{k}" for k in range(KEY_LONGS)]
+#: What is zero for most lines comes first, so it takes little room in a shuffle; ``key`` has the words above the bucket.
+KEYS = [*FLIPS[1:], "key", "id", "f0"]
+
+
+def keys_of(common: np.ndarray | None):
+    """The triples that lines send, or without ``common`` their SimHash blocks, with the line's small sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -208,21 +247,109 @@ def keys_of(common: np.ndarray):
             for _, _, data, offsets in slices(batch.column("text")):
                 lines = Lines(data, offsets)
                 senders = lines.senders()
-                ids = as_long(lines.keys()[np.searchsorted(lines.with_words, senders)])
+                at = np.searchsorted(lines.with_words, senders)
+                ids = as_long(lines.keys()[at])
                 new = np.array([k not in known for k in ids.tolist()], dtype=bool)
-                senders, ids = senders[new], ids[new]
+                senders, ids, at = senders[new], ids[new], at[new]
                 if not len(senders):
                     continue
                 if len(known) >= REMEMBERED:
                     known.clear()
                 known.update(ids.tolist())
-                sources = (blocks_of(lines, senders), sent(lines, senders, common))
-                buckets, owner = (np.concatenate(part) for part in zip(*sources, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(buckets)), pa.array(ids[owner])], names=["bucket", "id"])
+                buckets, owner = blocks_of(lines, senders) if common is None else sent(lines, senders, common)
+                buckets = mix(buckets) >> U64(64 - KEY_BITS) & ~U64(1) | U64(common is not None)
+                keys = buckets | np.minimum(lines.n[senders], KEY_WORDS).astype(U64)[owner] << U64(KEY_BITS)
+                columns = {"key": as_long(keys), "id": ids[owner]}
+                columns |= {f: as_long(x[at][owner]) for f, x in zip(FLIPS, lines.flips(), strict=True)}
+                yield pa.RecordBatch.from_pydict({c: pa.array(columns[c]) for c in KEYS})
 
     return run
 
 
+BUCKET = (1 << KEY_BITS) - 1
+MET = "bucket long, a long, b long, closest boolean"
+
+
+def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the keys bring, of rows that come by bucket, then size and id.
+
+    Pairs (a, b) that may be similar, without a bucket; ``closest`` if b is the closest to a there. Of triples
+    that more than ``SMALL`` lines share, the rows (bucket, a).
+    """
+    held = {c: np.zeros(0, np.int64) for c in KEYS}
+    waiting: list[pa.RecordBatch] = []
+    large = -1
+
+    def taken(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        bucket, n, ids = rows["key"] & BUCKET, rows["key"] >> KEY_BITS, rows["id"]
+        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        sizes = np.diff(np.append(starts, len(bucket)))
+        size, place = np.repeat(sizes, sizes), np.arange(len(bucket)) - np.repeat(starts, sizes)
+        triple = bucket & 1 == 1
+        many = triple & ((size > SMALL) | (bucket == large))
+        none = np.zeros(0, np.int64)
+        yield met(bucket[many], ids[many], none, none.astype(bool))
+        flips = [rows[f].view(U64) for f in FLIPS]
+        folded = np.bitwise_xor.reduce(flips)
+        best = np.full(len(bucket), 1 << 40)
+        partner = np.zeros(len(bucket), np.int64)
+        others = []
+        for d in range(1, SMALL):
+            y = np.flatnonzero((place >= d) & ~many & (triple | (d <= NEXT)))
+            if not len(y):
+                break
+            x = y - d
+            most = 2 * np.floor(np.maximum(n[x], n[y]) * (1 - SIMILAR) + 1e-9).astype(np.int64) - np.abs(n[x] - n[y])
+            apart = np.bitwise_count(folded[x] ^ folded[y]).astype(np.int64)
+            apart[(n[x] == KEY_WORDS) | (n[y] == KEY_WORDS)] = -1  # may have more words
+            ok = (apart <= most) | (apart < 0)
+            x, y, most, apart = x[ok], y[ok], most[ok], apart[ok]
+            long = np.flatnonzero((n[x] > SHORT) & (n[y] > SHORT) & (apart >= 0))
+            apart[long] = sum(np.bitwise_count(f[x[long]] ^ f[y[long]]).astype(np.int64) for f in flips)
+            ok = (apart <= most) | (apart < 0)
+            x, y, apart = x[ok], y[ok], apart[ok]
+            nearer = apart < best[y]
+            best[y[nearer]], partner[y[nearer]] = apart[nearer], x[nearer]
+            others.append((y[triple[y]], x[triple[y]]))
+        y = np.flatnonzero(best < 1 << 40)
+        yield met(None, ids[y], ids[partner[y]], np.ones(len(y), bool))
+        if others:
+            y, x = (np.concatenate(part) for part in zip(*others, strict=True))
+            y, x = y[partner[y] != x], x[partner[y] != x]
+            yield met(None, ids[y], ids[x], np.zeros(len(y), bool))
+
+    def met(bucket: np.ndarray | None, a: np.ndarray, b: np.ndarray, closest: np.ndarray) -> pa.RecordBatch:
+        if bucket is not None:
+            columns = [pa.array(bucket), pa.array(a), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.bool_())]
+        else:
+            columns = [pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.array(closest)]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "a", "b", "closest"])
+
+    def rows(last: bool) -> Iterator[pa.RecordBatch]:
+        """All that is waiting, but the last bucket, which may go on."""
+        nonlocal held, large
+        new = {c: np.concatenate([held[c], *(x.column(c).to_numpy() for x in waiting)]) for c in KEYS}
+        waiting.clear()
+        again = (new["key"][1:] == new["key"][:-1]) & (new["id"][1:] == new["id"][:-1])
+        if again.any():
+            new = {c: x[np.concatenate(([True], ~again))] for c, x in new.items()}
+        bucket = new["key"] & BUCKET
+        end = len(bucket)
+        if not last and end:
+            end = int(np.searchsorted(bucket, bucket[-1]))
+            if len(bucket) - end > SMALL:  # large whatever follows: only its last rows wait
+                end, large = len(bucket) - NEXT, int(bucket[-1])
+        held = {c: x[end:] for c, x in new.items()}
+        if end:
+            yield from taken({c: x[:end] for c, x in new.items()})
+
+    for batch in batches:
+        waiting.append(batch)
+        if sum(map(len, waiting)) >= MEET_ROWS:
+            yield from rows(False)
+    yield from rows(True)
+
+
 def line_codes(sketch_longs: int):
     """Key and word sequence of every line that sends keys, and its parity sketch of so many longs.
 
@@ -295,50 +422,52 @@ def within_edits(a: Column, b: Column) -> Column:
 def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(line, check, n_rows, first, best): every distinct line, its first place, and the first of its group."""
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "line_no")
-    firsts = lines.groupBy("line", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows"), F.min("n").alias("n"), F.min("flips").alias("flips"))
-    firsts = written(firsts)
+    firsts = written(lines.groupBy("line", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows")))
     texts = docs.select("text")
     common = (
         map_arrow(texts, count_common, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "gram").limit(COMMON_GRAMS).select("gram").toArrow().column("gram").to_numpy()
     )
-    keys = map_arrow(texts, keys_of(np.sort(common.view(U64))), "bucket long, id long")
-    every = written(shared_buckets(keys))
+
+    def brought(common: np.ndarray | None) -> DataFrame:
+        keys = map_arrow(texts, keys_of(common), ", ".join(f"{c} long" for c in KEYS))
+        bucket = F.col("key").bitwiseAND(F.lit(BUCKET))
+        return written(map_arrow(keys.repartition(bucket).sortWithinPartitions(bucket, "key", "id"), meet, MET))
+
+    prints = brought(None)
+    release_shuffles(docs.sparkSession)
+    grams = brought(np.sort(common.view(U64)))
+    release_shuffles(docs.sparkSession)
+    met = prints.union(grams)
+    large = met.where("bucket IS NOT NULL").select("bucket", F.col("a").alias("id"))
+    every = written(shared_buckets(large))
     shared = distinct_sets(every)
     discard(every)
-    infos = firsts.select(F.col("line").alias("id"), F.struct("n", "flips").alias("info"))
-    facts = written(infos.join(shared.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("info").alias("info")))
-
-    def near(a: Column, b: Column) -> Column:
-        apart = F.bit_count(a["flips"].bitwiseXOR(b["flips"]))
-        return apart + F.abs(a["n"] - b["n"]) <= 2 * most_edits(a["n"], b["n"])
-
-    def coded(ids: DataFrame, sketch_longs: int) -> DataFrame:
-        needed = written(ids.toDF("line"))
-        parts = sketch_parts(sketch_longs)
-        schema = ", ".join(["line long", "codes string", *(f"{p} long" for p in parts)])
-        found = map_arrow(docs.select("text"), line_codes(sketch_longs), schema).join(small_side(needed), "line", "left_semi")
-        sketch = F.struct(F.char_length("codes").alias("n"), *parts).alias("sketch")
-        codes = written(found.dropDuplicates(["line"]).select(F.col("line").alias("id"), "codes", sketch))
-        discard(needed)
-        return codes
-
-    def sketched(ids: DataFrame) -> DataFrame:
-        return coded(ids, SKETCH_LONGS)
-
-    def verify(pairs: DataFrame, codes: DataFrame | None = None) -> DataFrame:
-        pairs = written(pairs)
-        if codes is None:
-            codes = coded(pairs.select("a").union(pairs.select("b")).distinct(), 0)
-        both = pairs.join(codes.select(F.col("id").alias("a"), F.col("codes").alias("a_codes")), "a")
-        both = both.join(codes.select(F.col("id").alias("b"), F.col("codes").alias("b_codes")), "b")
+    ids = met.where("bucket IS NULL").select(F.explode(F.array("a", "b")).alias("line")).union(shared.select("id"))
+    needed = written(ids.distinct())
+    parts = sketch_parts(SKETCH_LONGS)
+    schema = ", ".join(["line long", "codes string", *(f"{p} long" for p in parts)])
+    found = map_arrow(texts, line_codes(SKETCH_LONGS), schema).join(small_side(needed), "line", "left_semi")
+    sketch = F.struct(F.char_length("codes").alias("n"), *parts).alias("sketch")
+    codes = written(found.dropDuplicates(["line"]).select(F.col("line").alias("id"), "codes", sketch))
+    discard(needed)
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for side in "ab":
+            both = both.join(codes.select(F.col("id").alias(side), F.col("codes").alias(f"{side}_codes"), F.col("sketch").alias(f"{side}_sketch")), side)
+        both = both.where(within_edits(F.col("a_sketch"), F.col("b_sketch")))
         most = most_edits(F.char_length("a_codes"), F.char_length("b_codes"))
-        linked = written(both.where(F.call_function("levenshtein", "a_codes", "b_codes", most) >= 0).select("a", "b"))
-        discard(pairs, codes)
-        return linked
-
-    groups = linked_groups(shared, facts, near, verify, sketched, within_edits).select(F.col("id").alias("line"), "component")
-    discard(shared, facts)
+        return both.where(F.call_function("levenshtein", "a_codes", "b_codes", most) >= 0).select("a", "b")
+
+    first = written(verify(met.where("closest").select("a", "b")))
+    near = written(components(first))
+    apart = with_component(with_component(met.where("NOT closest").select("a", "b"), near, "a"), near, "b").where("a_component <> b_component")
+    known = written(first.union(verify(apart)))
+    discard(first, near, prints, grams)
+    facts = codes.select("id", F.col("sketch").alias("info"))
+    groups = linked_groups(shared, facts, within_edits, verify, known=known).select(F.col("id").alias("line"), "component")
+    discard(shared, codes, known)
     # A line without a link is told from others by all its 128 bits, one of a group by the group.
     alone = F.when(F.col("component").isNull(), F.col("check")).alias("own")
     named = firsts.select("line", "check", "first", "n_rows").join(groups, "line", "left")

@@ -6,7 +6,8 @@ star): one pair an id, however large the buckets are. Then the groups found are
 compared with the stars of their other buckets where those belong to another group. Rows of a bucket that
 then belong to one group need no further comparison: any link between them would not change the groups.
 What is left are pairs of rows of different groups; they are compared with each other and with all members
-of the bucket, and so no link between groups is lost.
+of the bucket, and so no link between groups is lost. Every row knows the smallest of its buckets, so a pair
+that meets in many of them is told by the first one, not by each.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.tables import discard, written
 
+#: Buckets of a row, smallest first, that come along to tell a pair once. More or fewer change only the work.
+EARLY = 8
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id in ``edges`` (a, b): the smallest id it is connected with.
@@ -76,7 +80,7 @@ def linked_groups(
     verify: Callable[..., DataFrame],
     sketched: Callable[[DataFrame], DataFrame] | None = None,
     close_sketches: Callable[[Column, Column], Column] | None = None,
-    first_met: Callable[[Column, Column, Column], Column] | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """(id, component) of all ids that have a link.
 
@@ -85,7 +89,7 @@ def linked_groups(
     ``near(info, info)`` is a cheap necessary condition; ``verify`` keeps the pairs (a, b) that are linked.
     ``sketched(ids)`` makes a written table with (id, sketch) for the rows of buckets of several groups;
     ``close_sketches(sketch, sketch)`` is then a further necessary condition, and ``verify`` gets the table too.
-    ``first_met(bucket, info, info)`` may tell the one bucket that is to bring a pair which meets in several.
+    ``known`` is a written table of links (a, b) found before; they take the place of the first star.
     """
     stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b"))
 
@@ -95,33 +99,32 @@ def linked_groups(
         return known.where(near(F.col("a_info"), F.col("b_info"))).select("a", "b")
 
     told = facts if facts is not None else written(shared.groupBy("id").agg(F.min("info").alias("info")))
-    first = written(verify(informed(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))))
+    first = known if known is not None else written(verify(informed(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))))
     groups = written(components(first))
     apart = with_component(with_component(stars.distinct(), groups, "a"), groups, "b").where("a_component <> b_component").select("a", "b")
     links = written(first.union(verify(informed(apart))))
-    discard(first, groups)
+    discard(groups, *([first] if known is None else []))
     groups = written(components(links))
     named = with_component(shared.select("bucket", "id", "star"), groups, "id").withColumnRenamed("id_component", "component")
     span = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
     mixed = named.where("id <> star").join(span.select("bucket", "least"), "bucket").join(told, "id")
     mixed = written(mixed.select("bucket", "id", "info", "component", (F.col("component") != F.col("least")).alias("other")))
-    met_by: DataFrame = mixed
+    early = mixed.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("bucket")), 1, EARLY).alias("early"))
     facts_of = () if sketched is None else (sketched(mixed.select("id").distinct()),)
     if facts_of:
-        met_by = written(mixed.join(facts_of[0].select("id", "sketch"), "id"))
+        early = early.join(facts_of[0].select("id", "sketch"), "id")
+    met_by = written(mixed.join(early, "id"))
     left, right = (met_by.select("bucket", *(F.col(c).alias(f"{side}_{c}") for c in met_by.columns if c != "bucket")) for side in "ba")
     left = left.where("b_other")
     met = (F.col("a_component") != F.col("b_component")) & (~F.col("a_other") | (F.col("a_id") < F.col("b_id")))
     met &= near(F.col("a_info"), F.col("b_info"))
     if facts_of:
         met &= close_sketches(F.col("a_sketch"), F.col("b_sketch"))
-    if first_met is not None:
-        met &= first_met(F.col("bucket"), F.col("a_info"), F.col("b_info"))
+    before = F.array_min(F.array_intersect("a_early", "b_early")) < F.col("bucket")
+    met &= ~F.coalesce(before, F.lit(False))
     pairs = left.join(right, "bucket").where(met).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
     late = written(verify(pairs, *facts_of))
-    if facts_of:
-        discard(met_by)
-    discard(mixed)
+    discard(met_by, mixed)
     found = written(components(links.union(late)))
     discard(links, groups, late, *([told] if facts is None else []))
     return found
