@@ -29,7 +29,7 @@ def test_a_pair_that_meets_in_many_buckets_is_told_once(spark):
     most = []
 
     def verify(pairs):
-        most.append(joined_rows(pairs)[0])
+        most.append(max([0, *joined_rows(pairs)]))
         return pairs.where("a % 7 = b % 7")
 
     groups = linking.linked_groups(shared, None, lambda a, b: a == b, verify)
