@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
+import pytest
 
-from tidelake.llm import line_dedup, linking
+from tidelake.llm import line_dedup, linking, parity_join
 from tidelake.llm.tables import written
 from tidelake.llm.textkit import slices
 
@@ -98,3 +100,87 @@ def test_small_sketches_differ_by_two_bits_an_edit_at_most():
         for f in flips:
             folded = [folded[0] ^ int(f[0]), folded[1] ^ int(f[1])]
         assert (folded[0] ^ folded[1]).bit_count() <= 2 * (n // 10)
+
+
+def members_and_buckets(rng, stars, size, buckets):
+    """Members (star, id, n, component, sketch) and rows (star, bucket, id), with the pairs that are close in a bucket."""
+    members, rows, want = [], [], set()
+    for star in range(stars):
+        base = rng.integers(0, 2, 8192)
+        ids = np.sort(rng.choice(10**6, size, replace=False)) + 10**6 * star
+        n = np.where(rng.random(size) < 0.7, rng.integers(300, 420, size), rng.integers(1500, 2000, size))
+        component = rng.integers(0, max(2, size // 3), size) + 10**7 * star
+        flips = [rng.choice(8192, rng.integers(0, max(1, k // 4)), replace=False) for k in n]
+        bits = [np.where(np.isin(np.arange(8192), f), 1 - base, base) for f in flips]
+        sketches = [np.packbits(b.reshape(-1, parity_join.wide_bits(int(k)) if k > 1024 else 2048).sum(axis=0) % 2).view(np.int64) for b, k in zip(bits, n)]
+        members += [(star, int(i), int(k), int(c), x.tolist()) for i, k, c, x in zip(ids, n, component, sketches)]
+        for bucket in range(buckets):
+            here = np.flatnonzero(rng.random(size) < rng.random())
+            rows += [(star, 5 * bucket, int(ids[k])) for k in here]
+            for a in here:
+                for b in here[here > a]:
+                    apart = 7 * parity_join.bits_apart(sketches[a].view(np.uint64), sketches[b].view(np.uint64))
+                    alike = component[a] == component[b] or 4 * min(n[a], n[b]) < 3 * max(n[a], n[b])
+                    if not alike and apart <= n[a] + n[b]:
+                        want.add((int(ids[a]), int(ids[b]), int(1000 * apart // (n[a] + n[b]))))
+    return members, rows, want
+
+
+@pytest.mark.parametrize("stars, size, buckets", [(40, 5, 4), (3, 90, 25), (1, 150, 3), (4, 1, 2)])
+def test_members_of_a_star_meet_wherever_rows_and_flags_are_cut(monkeypatch, stars, size, buckets):
+    members, rows, want = members_and_buckets(np.random.default_rng(size), stars, size, buckets)
+    table = [(s, None, i, n, c, x, 0, 0) for s, i, n, c, x in members] + [(s, b, i, None, None, None, 0, 0) for s, b, i in rows]
+    table.sort(key=lambda r: (r[0], r[2], r[1] is not None, r[1]))
+    names = ["star", "bucket", "id", "n", "component", "sketch", "cell", "side"]
+    types = [pa.list_(pa.int64()) if c == "sketch" else pa.int64() for c in names]
+    table = pa.table({c: pa.array(column, kind) for c, kind, column in zip(names, types, zip(*table))})
+    for held, few in ((parity_join.MEET_HELD, parity_join.MEET_ROWS), (64, 20)):
+        monkeypatch.setattr(parity_join, "MEET_HELD", held)
+        monkeypatch.setattr(parity_join, "MEET_ROWS", few)
+        got = [r for batch in parity_join.meet(iter(table.to_batches(max_chunksize=7))) for r in batch.to_pylist()]
+        assert {(r["a"], r["b"], r["gap"]) for r in got} == want
+        if size == 90:  # dense: told once, however many buckets a pair meets in
+            assert len(got) == len(want)
+
+
+def test_a_star_with_many_members_is_dealt_out_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "CELL", 16)
+    members, rows, want = members_and_buckets(np.random.default_rng(8), 2, 60, 6)
+    component = {i: c for _, i, _, c, _ in members}
+    mixed = spark.createDataFrame([(b + 1000 * s, s, i, component[i]) for s, b, i in rows], "bucket long, star long, id long, component long")
+    sets = spark.createDataFrame([(i, n, x) for _, i, n, _, x in members], "id long, n long, sketch array<long>")
+    got = [(r.a, r.b, r.gap) for r in parity_join.met_by_star(mixed, sets).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_a_large_family_is_joined_without_verifying_all_its_pairs(spark, monkeypatch):
+    """Near copies on both sides of the threshold: the groups of brute force, from few pairs whose texts are fetched."""
+    rng = random.Random(9)
+    vocabulary = ["w%d" % k for k in range(3000)]
+    base, texts = rng.choices(vocabulary, k=200), []
+    for _ in range(220):
+        words = list(base)
+        for _ in range(int(rng.triangular(0, 14, 6))):
+            words[rng.randrange(200)] = rng.choice(vocabulary)
+        texts.append(" ".join(words))
+    long = rng.choices(vocabulary, k=40)  # in texts whose small sketches are full
+    texts += [" ".join(rng.choices(vocabulary, k=6000) + long) for _ in range(30)]
+    sets = [{tuple(words[k : k + 5]) for k in range(len(words) - 4)} for words in map(str.split, texts)]
+    group = list(range(len(texts)))
+    for b in range(len(sets)):
+        for a in range(b):
+            if 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]):
+                old, new = sorted((group[a], group[b]))[::-1]
+                group = [new if g == old else g for g in group]
+    verified = []
+
+    def counted(df):
+        out = written(df)
+        if df.columns == ["a", "b"]:
+            verified.append(out.count())
+        return out
+
+    monkeypatch.setattr(parity_join, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in parity_join.near_duplicates(docs).collect()} == dict(enumerate(group))
+    assert 20 < len(set(group)) and sum(verified) < 5 * len(texts), verified

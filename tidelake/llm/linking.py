@@ -7,12 +7,15 @@ compared with the stars of their other buckets where those belong to another gro
 then belong to one group need no further comparison: any link between them would not change the groups.
 What is left are pairs of rows of different groups; they are compared with each other and with all members
 of the bucket, and so no link between groups is lost. Every row knows the smallest of its buckets, so a pair
-that meets in many of them is told by the first one, not by each.
+that meets in many of them is told by the first one, not by each. An operator may bring a ``meet`` of its own,
+which tells how near the rows of a pair are as well; then each group's nearest pair is verified first, and only
+the pairs that still join different groups after that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,9 +80,8 @@ def linked_groups(
     shared: DataFrame,
     facts: DataFrame | None,
     near: Callable[[Column, Column], Column],
-    verify: Callable[..., DataFrame],
-    sketched: Callable[[DataFrame], DataFrame] | None = None,
-    close_sketches: Callable[[Column, Column], Column] | None = None,
+    verify: Callable[[DataFrame], DataFrame],
+    meet: Callable[[DataFrame], DataFrame] | None = None,
     known: DataFrame | None = None,
 ) -> DataFrame:
     """(id, component) of all ids that have a link.
@@ -87,8 +89,9 @@ def linked_groups(
     ``shared`` is a written table of ``distinct_sets`` and ``facts`` has (id, info) of all its ids, or is
     None where ``shared`` itself carries the small ``info``.
     ``near(info, info)`` is a cheap necessary condition; ``verify`` keeps the pairs (a, b) that are linked.
-    ``sketched(ids)`` makes a written table with (id, sketch) for the rows of buckets of several groups;
-    ``close_sketches(sketch, sketch)`` is then a further necessary condition, and ``verify`` gets the table too.
+    ``meet`` takes (bucket, star, id, component) of buckets of several groups as a written table and makes a written
+    table of the pairs (a, b, a_component, b_component, gap) of rows of different components that share a bucket and
+    may be linked, each once; it then takes the place of ``near`` there.
     ``known`` is a written table of links (a, b) found before; they take the place of the first star.
     """
     stars = shared.where("id <> star").select(F.col("star").alias("a"), F.col("id").alias("b"))
@@ -106,25 +109,55 @@ def linked_groups(
     discard(groups, *([first] if known is None else []))
     groups = written(components(links))
     named = with_component(shared.select("bucket", "id", "star"), groups, "id").withColumnRenamed("id_component", "component")
+    # Every row has been compared with its stars, so only the others of a bucket can bring pairs.
+    named = named.where("id <> star")
     span = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
-    mixed = named.where("id <> star").join(span.select("bucket", "least"), "bucket").join(told, "id")
-    mixed = written(mixed.select("bucket", "id", "info", "component", (F.col("component") != F.col("least")).alias("other")))
-    early = mixed.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("bucket")), 1, EARLY).alias("early"))
-    facts_of = () if sketched is None else (sketched(mixed.select("id").distinct()),)
-    if facts_of:
-        early = early.join(facts_of[0].select("id", "sketch"), "id")
-    met_by = written(mixed.join(early, "id"))
+    mixed = named.join(span.select("bucket", "least"), "bucket")
+    if meet is not None:
+        mixed = written(mixed.select("bucket", "star", "id", "component"))
+        pairs = meet(mixed)
+        discard(mixed)
+        found = nearest_first(groups, pairs, verify)
+        discard(pairs)
+    else:
+        mixed = written(mixed.join(told, "id").select("bucket", "id", "info", "component", (F.col("component") != F.col("least")).alias("other")))
+        early = mixed.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("bucket")), 1, EARLY).alias("early"))
+        met_by = written(mixed.join(early, "id"))
+        late = written(verify(met_in_buckets(met_by, near)))
+        discard(met_by, mixed)
+        found = written(components(links.union(late)))
+        discard(late)
+    discard(links, groups, *([told] if facts is None else []))
+    return found
+
+
+def met_in_buckets(met_by: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
+    """(a, b): rows of different components that share a bucket and are ``near``."""
     left, right = (met_by.select("bucket", *(F.col(c).alias(f"{side}_{c}") for c in met_by.columns if c != "bucket")) for side in "ba")
     left = left.where("b_other")
     met = (F.col("a_component") != F.col("b_component")) & (~F.col("a_other") | (F.col("a_id") < F.col("b_id")))
     met &= near(F.col("a_info"), F.col("b_info"))
-    if facts_of:
-        met &= close_sketches(F.col("a_sketch"), F.col("b_sketch"))
     before = F.array_min(F.array_intersect("a_early", "b_early")) < F.col("bucket")
     met &= ~F.coalesce(before, F.lit(False))
-    pairs = left.join(right, "bucket").where(met).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
-    late = written(verify(pairs, *facts_of))
-    discard(met_by, mixed)
-    found = written(components(links.union(late)))
-    discard(links, groups, late, *([told] if facts is None else []))
+    return left.join(right, "bucket").where(met).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
+def nearest_first(groups: DataFrame, pairs: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``groups`` joined by the linked ones of ``pairs``, as a written table.
+
+    Large groups have many linked pairs, and one is enough to join two groups: the pair with the smallest gap of
+    every group is verified first, and then all pairs whose groups are still apart.
+    """
+    def joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+        return written(components(groups.toDF("a", "b").union(links)))
+
+    sides = (pairs.select(F.col(f"{side}_component").alias("of"), F.struct("gap", "a", "b").alias("best")) for side in "ab")
+    nearest = reduce(DataFrame.union, sides).groupBy("of").agg(F.min("best").alias("best"))
+    nearest = written(nearest.select("best.a", "best.b").distinct())
+    linked = written(verify(nearest))
+    nearer = joined(groups, linked)
+    apart = with_component(with_component(pairs.select("a", "b"), nearer, "a"), nearer, "b").where("a_component <> b_component")
+    late = written(verify(apart.select("a", "b").join(nearest, ["a", "b"], "left_anti")))
+    found = joined(nearer, late)
+    discard(nearest, linked, nearer, late)
     return found

@@ -15,7 +15,8 @@ band joins the next band as well, where its larger partners are.
 
 Candidates that share a key are pruned by size and by parity sketches of 256, 2048 and at least 4096 bits, whose
 Hamming distance is a lower bound of the differing shingles too; the rest are verified on their whole
-shingle sets.
+shingle sets. Buckets of several groups are sought through by their smallest member (``meet``): large groups of
+near copies share hundreds of buckets, and a pair that meets in many of them is compared once.
 Shingles are compared by 64-bit hashes, sets by 64 bits while candidates are sought and 128 bits in the end.
 """
 
@@ -39,11 +40,19 @@ SMALL_SIDE_ROWS = 500_000
 BAND_BITS = 4
 #: Bits of the large sketch, for sets of up to four shingles a bit, and as it grows.
 SKETCH_BITS = 4096
-SKETCH_STEP = 16
+SKETCH_STEP = 2
 #: Sketch of a set in the table of sets, of 64 bits each; folded to four for the first comparison.
 SKETCH_LONGS = 32
 PARTS = [f"p{k}" for k in range(SKETCH_LONGS)]
-SETS = "doc_id long, version long, n_shingles long, set1 long, set2 long, " + ", ".join(f"{p} long" for p in PARTS)
+#: Sets with more than half as many shingles as that has bits also bring one of at least two bits a shingle.
+SETS = "doc_id long, version long, n_shingles long, set1 long, set2 long, " + ", ".join(f"{p} long" for p in PARTS) + ", wide array<long>"
+#: Pairs whose sketches are compared at a time, and pairs or flags of pairs that are held at a time.
+MEET_PAIRS = 1 << 14
+MEET_HELD = 1 << 19
+#: Rows that are looked through at a time, and members of a star in one cell; larger stars are dealt out.
+MEET_ROWS = 100_000
+CELL = 8192
+MET = "a long, b long, a_component long, b_component long, gap long"
 #: Sets that a task remembers as sent, so copies of one text send their keys once.
 REMEMBERED = 200_000
 
@@ -68,15 +77,25 @@ def dense_sketch(grams: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8))
 
 
+def wide_bits(n: int) -> int:
+    """Bits of the wide sketch of a set of ``n`` shingles: a power of two that is at least 2 * n."""
+    return 1 << max(1, 2 * n - 1).bit_length()
+
+
 def describe_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = np.zeros((3 + SKETCH_LONGS, len(batch)), dtype=np.int64)
+        wide, sizes = [np.zeros(0, dtype=np.int64)], np.zeros(len(batch) + 1, dtype=np.int32)
         for row, grams in shingle_sets(batch.column("text")):
             if len(grams):
                 out[:3, row] = len(grams), *digest(grams)
                 out[3:, row] = dense_sketch(grams, 64 * SKETCH_LONGS).view(np.int64)
-        names = ["doc_id", "version", "n_shingles", "set1", "set2", *PARTS]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), *map(pa.array, out)], names=names)
+            if (bits := wide_bits(len(grams))) > 64 * SKETCH_LONGS:
+                wide.append(dense_sketch(grams, bits).view(np.int64))
+                sizes[row + 1] = len(wide[-1])
+        longer = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(np.concatenate(wide)), mask=pa.array(sizes[1:] == 0))
+        names = ["doc_id", "version", "n_shingles", "set1", "set2", *PARTS, "wide"]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), *map(pa.array, out), longer], names=names)
 
 
 def count_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,10 +203,10 @@ def sketch_bits(n: int) -> int:
     return bits
 
 
-def bits_apart(left: bytes, right: bytes) -> int:
-    """Hamming distance of two sketches; the longer one is folded to the length of the other."""
+def bits_apart(left: np.ndarray, right: np.ndarray) -> int:
+    """Hamming distance of two sketches of 64-bit values; the longer one is folded to the length of the other."""
     size = min(len(left), len(right))
-    a, b = (np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in (left, right))
+    a, b = (x if len(x) == size else np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) for x in (left, right))
     return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
 
 
@@ -195,7 +214,7 @@ def within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose large sketches differ in no more bits than linked sets can."""
     for batch in batches:
         sketches = zip(batch.column("a_sketch"), batch.column("b_sketch"), strict=True)
-        apart = np.array([bits_apart(x.as_py(), y.as_py()) for x, y in sketches], dtype=np.int64)
+        apart = np.array([bits_apart(*(np.frombuffer(x.as_buffer(), U64) for x in pair)) for pair in sketches], dtype=np.int64)
         total = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(7 * apart <= total))
 
@@ -217,10 +236,131 @@ def may_link(a: Column, b: Column) -> Column:
     return (4 * F.least(a["n"], b["n"]) >= 3 * F.greatest(a["n"], b["n"])) & (7 * apart <= total)
 
 
-def within_sketch(a: Column, b: Column) -> Column:
-    """Whether the larger sketches leave room for a link."""
-    apart = sum((F.bit_count(a[p].bitwiseXOR(b[p])) for p in PARTS), F.lit(0))
-    return 7 * apart <= a["n"] + b["n"]
+class Meeting:
+    """Members of stars, each followed by its buckets, and the pairs of them that may be linked."""
+
+    def __init__(self, rows: pa.Table):
+        column = {name: rows.column(name).combine_chunks() for name in rows.column_names}
+        told = column["bucket"].is_null().to_numpy(zero_copy_only=False)
+        self.id, self.n, self.component, self.side = (column[c].filter(pa.array(told)).to_numpy() for c in ("id", "n", "component", "side"))
+        sketches = column["sketch"].drop_null()
+        self.bits, self.length = sketches.flatten().to_numpy().view(U64), sketches.value_lengths().to_numpy()
+        self.at = np.cumsum(self.length) - self.length
+        self.sketch = self.bits[self.at[:, None] + np.arange(SKETCH_LONGS)] if len(self.id) else np.zeros((0, SKETCH_LONGS), U64)
+        for k in np.flatnonzero(self.length > SKETCH_LONGS):
+            self.sketch[k] = np.bitwise_xor.reduce(self.wide(k).reshape(-1, SKETCH_LONGS), axis=0)
+        star, cell = (column[c].to_numpy() for c in ("star", "cell"))
+        new = np.concatenate(([True], (star[1:] != star[:-1]) | (cell[1:] != cell[:-1])))
+        group, member = (np.cumsum(x)[~told] - 1 for x in (new, told))
+        bucket = column["bucket"].drop_null().to_numpy()
+        order = np.lexsort((member, bucket, group))
+        self.member, bucket, group = member[order], bucket[order], group[order]
+        same = (bucket[1:] == bucket[:-1]) & (group[1:] == group[:-1])
+        self.starts = np.flatnonzero(np.concatenate(([True], ~same))) if len(bucket) else np.zeros(0, np.int64)
+        self.ends = np.append(self.starts[1:], len(bucket))
+        self.group = group[self.starts]
+        self.firsts = np.append(np.cumsum(told)[np.flatnonzero(new)] - 1, len(self.id))
+
+    def wide(self, k: int) -> np.ndarray:
+        return self.bits[self.at[k] : self.at[k] + self.length[k]]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions of members that share a bucket, a before b. Of a dense star each pair comes once."""
+        size = self.ends - self.starts
+        some = size > 1
+        self.starts, self.ends, self.group, size = self.starts[some], self.ends[some], self.group[some], size[some]
+        flags = np.diff(self.firsts) ** 2
+        meetings = np.bincount(self.group, size * (size - 1) // 2, len(flags))
+        dense = (meetings > flags / 8) & (meetings > 2000)
+        bounds = np.searchsorted(self.group, np.arange(len(flags) + 1))
+        for star in np.flatnonzero(dense):
+            yield from self.flagged(*self.firsts[star : star + 2], range(*bounds[star : star + 2]))
+        rest = np.flatnonzero(~dense[self.group])
+        sizes = np.repeat(size[rest], size[rest])
+        rows = np.repeat(self.starts[rest] - (np.cumsum(size[rest]) - size[rest]), size[rest]) + np.arange(len(sizes))
+        after = np.repeat(self.ends[rest], size[rest]) - rows - 1
+        total, at = np.cumsum(after), 0
+        while at < len(rows):
+            to = max(at + 1, int(np.searchsorted(total, total[at] - after[at] + MEET_HELD, side="right")))
+            counts = after[at:to]
+            a = np.repeat(rows[at:to], counts)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts)
+            a, b = self.member[a], self.member[b]
+            keep = self.component[a] != self.component[b]
+            both = np.unique(a[keep] * len(self.id) + b[keep])
+            yield both // len(self.id), both % len(self.id)
+            at = to
+
+    def flagged(self, first: int, last: int, buckets: range) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of the members ``first`` to ``last``, by a flag for each, some rows of flags at a time."""
+        met = [self.member[self.starts[k] : self.ends[k]] - first for k in buckets]
+        step = max(1, MEET_HELD // (last - first))
+        for at in range(0, last - first, step):
+            flags = np.zeros((min(step, last - first - at), last - first), dtype=bool)
+            for members in met:
+                here = members[np.searchsorted(members, at) : np.searchsorted(members, at + len(flags))]
+                flags[(here - at)[:, None], members] = True
+            flags &= np.arange(at, at + len(flags))[:, None] < np.arange(last - first)
+            flags &= self.component[first + at : first + at + len(flags), None] != self.component[first:last]
+            a, b = np.nonzero(flags)
+            yield a + first + at, b + first
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        """The pairs of different components whose sketches leave room for a link."""
+        for every_a, every_b in self.pairs():
+            n = self.n[every_a], self.n[every_b]
+            keep = (4 * np.minimum(*n) >= 3 * np.maximum(*n)) & (self.side[every_a] == -self.side[every_b])
+            every_a, every_b = every_a[keep], every_b[keep]
+            for at in range(0, len(every_a), MEET_PAIRS):
+                a, b = every_a[at : at + MEET_PAIRS], every_b[at : at + MEET_PAIRS]
+                apart = 7 * np.bitwise_count(self.sketch[a] ^ self.sketch[b]).sum(axis=1, dtype=np.int64)
+                room = apart <= self.n[a] + self.n[b]
+                a, b, apart = a[room], b[room], apart[room]
+                for k in np.flatnonzero(np.minimum(self.length[a], self.length[b]) > SKETCH_LONGS):
+                    apart[k] = 7 * bits_apart(self.wide(a[k]), self.wide(b[k]))
+                total = self.n[a] + self.n[b]
+                room = apart <= total
+                a, b, gap = a[room], b[room], 1000 * apart[room] // total[room]
+                found = (self.id[a], self.id[b], self.component[a], self.component[b], gap)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "a_component", "b_component", "gap"])
+
+
+def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``MET`` of rows by star, cell and id, a member's sketch before its buckets."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) < MEET_ROWS:
+            continue
+        star, cell = (batch.column(c).to_numpy() for c in ("star", "cell"))
+        new = np.flatnonzero((star[1:] != star[:-1]) | (cell[1:] != cell[:-1]))
+        if len(new):
+            held[-1] = batch.slice(0, int(new[-1]) + 1)
+            yield from Meeting(pa.Table.from_batches(held)).close()
+            held = [batch.slice(int(new[-1]) + 1)]
+    if sum(map(len, held)):
+        yield from Meeting(pa.Table.from_batches(held)).close()
+
+
+def met_by_star(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """``MET`` of (bucket, star, id, component), as a written table; ``sets`` has (id, n, sketch).
+
+    All buckets of a star go to one task, so that members are sent once and pairs are compared once. A star with
+    more than ``CELL`` members is dealt out in cells: one for every two pieces of it.
+    """
+    members = written(mixed.groupBy("star", "id").agg(F.min("component").alias("component")))
+    wide = members.groupBy("star").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("pieces")).where("pieces > 1")
+    none = F.lit(None)
+    told = members.join(sets, "id").select("star", none.cast("long").alias("bucket"), "id", "n", "component", "sketch")
+    buckets = mixed.select("star", "bucket", "id", none.cast("long").alias("n"), none.cast("long").alias("component"), none.cast("array<long>").alias("sketch"))
+    dealt = told.union(buckets).join(wide, "star", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("id"), "pieces")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    dealt = dealt.withColumn("cell", F.least("piece", "other") * F.col("pieces") + F.greatest("piece", "other"))
+    dealt = dealt.withColumn("side", F.signum(F.col("piece") - F.col("other")).cast("long")).drop("pieces", "piece", "other")
+    rows = dealt.repartition("star", "cell").sortWithinPartitions("star", "cell", "id", F.col("bucket").asc_nulls_first())
+    pairs = written(map_arrow(rows, meet, MET).dropDuplicates(["a", "b"]))
+    discard(members)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -243,7 +383,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     classes = written(
         sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set1", "set2")
-        .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n_shingles", *PARTS)))
+        .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n_shingles", *PARTS, "wide")))
     )
     named = texts.where("doc_id IS NOT NULL")
     common = (
@@ -257,13 +397,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     folded = (reduce(Column.bitwiseXOR, (F.col(f"p{k + 4 * j}") for j in range(SKETCH_LONGS // 4))).alias(f"s{k}") for k in range(4))
     info = F.struct(F.col("n_shingles").alias("n"), *folded)
 
-    def sketched(ids: DataFrame) -> DataFrame:
-        sketch = F.struct(F.col("n_shingles").alias("n"), *PARTS).alias("sketch")
-        return written(classes.select(F.col("set1").alias("id"), sketch).join(ids, "id", "left_semi"))
+    sketches = classes.select(F.col("set1").alias("id"), F.col("n_shingles").alias("n"), F.coalesce("wide", F.array(*PARTS)).alias("sketch"))
 
-    def verify(pairs: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
-        if sketches is not None:
-            discard(sketches)
+    def verify(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs)
         needed = pairs.select(F.col("a").alias("set1")).union(pairs.select("b")).distinct()
         needed = written(classes.join(needed, "set1", "left_semi").select(F.col("id").alias("_id")))
@@ -281,7 +417,7 @@ def grouped(docs: DataFrame) -> DataFrame:
         discard(pairs, needed, bodies, close)
         return linked
 
-    groups = linked_groups(shared, classes.select(F.col("set1").alias("id"), info.alias("info")), may_link, verify, sketched, within_sketch)
+    groups = linked_groups(shared, classes.select(F.col("set1").alias("id"), info.alias("info")), may_link, verify, lambda mixed: met_by_star(mixed, sketches))
     discard(shared)
     # A group's component is its smallest doc_id, not its smallest digest.
     member = classes.select("set1", "set2", "id").join(groups.toDF("set1", "group"), "set1", "left")
