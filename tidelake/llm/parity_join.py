@@ -51,7 +51,7 @@ MEET_PAIRS = 1 << 14
 MEET_HELD = 1 << 19
 #: Rows that are looked through at a time, and members of a star in one cell; larger stars are dealt out.
 MEET_ROWS = 100_000
-CELL = 8192
+CELL = 4096
 MET = "a long, b long, a_component long, b_component long, gap long"
 #: Sets that a task remembers as sent, so copies of one text send their keys once.
 REMEMBERED = 200_000
